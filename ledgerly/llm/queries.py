@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, token_files
+from . import line_dedup, packing, sharding, token_files
 from .common import scratch, stage, table
 
 
@@ -22,12 +22,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(token_files.read(spark, path))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the later repeats of runs of lines; gone_lines are positions."""
+    out = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
+    return out.select("doc_id", "n_lines", F.size(gone).alias("n_gone"), F.array_join(gone, ",").alias("gone_lines"), "text")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of at most 2048 ids, packed best-fit."""
     pieces = stage(packing.cut(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 0, blanks=True), "pieces")
     return packing.pack(pieces)
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op6_token_files, op9_packing)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op6_token_files, op8_line_dedup, op9_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
