@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, sharding, token_files
+from . import line_dedup, packing, sharding, token_files, toxicity
 from .common import scratch, stage, table
 
 
@@ -35,6 +35,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op6_token_files, op8_line_dedup, op9_packing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's toxicity, learned from the labels of the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op2_sharding, op6_token_files, op8_line_dedup, op9_packing, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
