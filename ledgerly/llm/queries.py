@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, sharding, token_files, toxicity
+from . import decontaminate, line_dedup, packing, sharding, token_files, toxicity
 from .common import scratch, stage, table
 
 
@@ -15,6 +15,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item within its edit budget of a passage of a document."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as ids in Parquet list columns, read back."""
     path = scratch(spark, "token-ids")
@@ -43,6 +48,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op6_token_files, op8_line_dedup, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_decontamination, op6_token_files, op8_line_dedup, op9_packing, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
