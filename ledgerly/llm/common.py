@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -46,3 +47,45 @@ def discard(*staged: DataFrame) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Bits of a map of hashes: 16 MB at most, whatever the input.
+MAP_BITS = 1 << 27
+
+
+def hash_map(hashes: DataFrame, column: str) -> DataFrame:
+    """A map of bits of fixed size that holds every hash of a column: at most 4,096 rows of 4 KB."""
+    spot = F.pmod(F.col(column), F.lit(MAP_BITS)) + 1
+    return hashes.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits"))
+
+
+def maybe_in(df: DataFrame, value: Column, bits: DataFrame) -> DataFrame:
+    """The rows whose hash a map holds, and some others: all the more, the fuller the map."""
+    spot = F.pmod(value, F.lit(MAP_BITS)) + 1
+    spotted = df.withColumns({"_bucket": F.bitmap_bucket_number(spot), "_bit": F.bitmap_bit_position(spot)})
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    power = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.col("_bit") % 8).cast("int") + 1)
+    # its size is bounded by MAP_BITS
+    return spotted.join(F.broadcast(bits), "_bucket").where(byte.bitwiseAND(power) != 0).select(*df.columns)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """v and component (the smallest id reachable) of every end of the edges (a, b).
+
+    Every vertex takes the smallest label among its neighbours, then the label
+    of its label, until nothing changes; each round is written, so the lineage
+    stays short.  The number of rounds grows with the logarithm of the longest chain.
+    """
+    both = stage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "edges")
+    labels = stage(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("l")).select("v", F.least("v", "l").alias("l")), "labels")
+    while True:
+        near = both.join(labels, F.col("b") == F.col("v")).groupBy("a").agg(F.min("l").alias("near"))
+        hooked = labels.join(near, F.col("v") == F.col("a")).select("v", "l", F.least("l", "near").alias("now"))
+        root = labels.select(F.col("v").alias("r"), F.col("l").alias("up"))
+        after = stage(hooked.join(root, F.col("now") == F.col("r"), "left").select("v", F.least("now", "up").alias("l"), (F.least("now", "up") != F.col("l")).alias("moved")), "labels")
+        done = after.where("moved").isEmpty()
+        discard(labels)
+        labels = after
+        if done:
+            discard(both)
+            return labels.select("v", F.col("l").alias("component"))

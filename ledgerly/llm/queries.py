@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, sharding, token_files, toxicity
+from . import decontaminate, jaccard, line_dedup, packing, sharding, token_files, toxicity
 from .common import scratch, stage, table
 
 
@@ -27,6 +27,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(token_files.read(spark, path))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 4-word shingles at a Jaccard similarity of 0.85."""
+    return jaccard.groups(table(spark, sf_dir, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the later repeats of runs of lines; gone_lines are positions."""
     out = line_dedup.dedup(table(spark, sf_dir, "documents"))
@@ -48,6 +53,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_decontamination, op6_token_files, op8_line_dedup, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_decontamination, op6_token_files, op7_jaccard_join, op8_line_dedup, op9_packing, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
