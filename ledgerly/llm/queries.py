@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, line_dedup, packing, sharding, token_files, toxicity
+from . import decontaminate, embedding_forest, jaccard, line_dedup, packing, sharding, token_files, toxicity
 from .common import scratch, stage, table
 
 
@@ -20,6 +20,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings within their labels at a cosine of 0.93."""
+    return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as ids in Parquet list columns, read back."""
     path = scratch(spark, "token-ids")
@@ -53,6 +58,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_decontamination, op6_token_files, op7_jaccard_join, op8_line_dedup, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_decontamination, op5_embedding_forest, op6_token_files, op7_jaccard_join, op8_line_dedup, op9_packing, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
