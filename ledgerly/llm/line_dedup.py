@@ -21,64 +21,81 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, hash_map, maybe_in, stage
 
-#: Cuts after line ends and sentence ends; the pieces spell the text.
-CUT = r"(?<=\n)|(?<=[.!?;] )"
+#: Ends of lines; the pieces between cuts after them spell the text.
+ENDS = ("\n", ". ", "! ", "? ", "; ")
+_MARK = "\x01"
+_CUT = r"(?<=\n)|(?<=[.!?;] )"
 #: Words of a line that is a fingerprint by itself, of a line that one can be at all
 #: beside a longer one, and of a run worth deleting.
 LONG, SHORT, RUN = 13, 4, 8
 
 
 def lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), CUT, -1)
+    text = F.coalesce(text, F.lit(""))
+    marked = text
+    for end in ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
+    # the plain split is the fast one; a text that holds the mark itself is cut by pattern
+    return F.when(F.contains(text, F.lit(_MARK)), F.split(text, _CUT, -1)).otherwise(F.split(marked, _MARK, -1))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, twin (a hash of the text), pos, h, size, words, and h and words of both neighbours."""
-    arr = F.transform(
-        lines(F.col("text")),
+    """doc_id, twin (a hash of the text), pos, h, size, words, and hash and words of both neighbours."""
+    trimmed = F.transform(lines(F.col("text")), lambda s: F.trim(s, F.lit(" \n")))
+    known = F.transform(
+        trimmed,
         lambda s: F.struct(
-            F.xxhash64(F.trim(s, F.lit(" \n"))).alias("h"),
-            F.length(F.trim(s, F.lit(" \n"))).alias("size"),
-            F.when(F.length(F.trim(s, F.lit(" \n"))) == 0, 0).otherwise(F.length(s) - F.length(F.replace(s, F.lit(" "))) + F.when(s.endswith(" "), 0).otherwise(1)).alias("words"),
+            F.xxhash64(s).alias("h"),
+            F.length(s).alias("size"),
+            F.when(s == "", 0).otherwise(F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("words"),
         ),
     )
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("twin"), arr.alias("a"))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.hash("text").alias("twin"), known.alias("a"))
+    # the order in a window: lines of few words last
+    rank = F.transform("a", lambda x: F.shiftrightunsigned(x["h"], 2) + F.when(x["words"] < SHORT, F.lit(1 << 62)).otherwise(F.lit(0)))
+    rows = rows.select("doc_id", "twin", "a", rank.alias("r"))
+
+    def won(x: Column, i: Column) -> Column:
+        r, last = F.get("r", i), F.lit((1 << 63) - 1)
+        return (x["words"] >= LONG) | ((x["words"] > 0) & ((r <= F.coalesce(F.get("r", i - 1), last)) | (r <= F.coalesce(F.get("r", i + 1), last))))
+
+    places = F.filter(F.transform("a", lambda x, i: F.when(won(x, i), i)), lambda i: i.isNotNull())
+    pos = rows.select("doc_id", "twin", "a", F.explode(places).alias("pos"))
 
     def at(i: Column) -> Column:
-        return F.get(F.col("a"), i)
-
-    def smaller(x: Column, y: Column) -> Column:
-        """x wins its window against the neighbour y."""
-        return y.isNull() | (F.struct(x["words"] < SHORT, x["h"]) <= F.struct(y["words"] < SHORT, y["h"]))
-
-    def chosen(x: Column, i: Column) -> Column:
-        won = smaller(x, at(i - 1)) | smaller(x, at(i + 1))
-        return F.when(
-            (x["words"] > 0) & ((x["words"] >= LONG) | won),
-            F.struct(
-                i.alias("pos"),
-                x["h"].alias("h"),
-                x["size"].alias("size"),
-                x["words"].alias("words"),
-                at(i - 1)["h"].alias("before"),
-                at(i - 1)["words"].alias("words_before"),
-                at(i + 1)["h"].alias("after"),
-                at(i + 1)["words"].alias("words_after"),
-            ),
-        )
-
-    picked = F.array_compact(F.transform("a", chosen))
-    return rows.select("doc_id", "twin", F.inline(picked))
+        return F.get("a", i)
+
+    here, before, after = at(F.col("pos")), at(F.col("pos") - 1), at(F.col("pos") + 1)
+    return pos.select(
+        "doc_id",
+        "twin",
+        "pos",
+        here["h"].alias("h"),
+        here["size"].alias("size"),
+        here["words"].alias("words"),
+        before["h"].alias("before"),
+        before["words"].alias("words_before"),
+        after["h"].alias("after"),
+        after["words"].alias("words_after"),
+    )
+
+
+def repeated(prints: DataFrame) -> DataFrame:
+    """The fingerprints whose hash may occur twice: a map of fixed size tells; it lets some others pass."""
+    twice = prints.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return maybe_in(prints, F.col("h"), hash_map(twice, "h"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, twin and the ascending positions of the lines to delete."""
-    prints = stage(fingerprints(docs), "fingerprints")
+    prints = stage(fingerprints(docs), "fingerprints", compression="zstd")
+    some = stage(repeated(prints), "repeated", compression="zstd")
+    discard(prints)
     place = F.struct("doc_id", "twin", "pos", "before", "after")
-    first = prints.groupBy("h", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = prints.join(first, ["h", "size"]).where(
+    first = some.groupBy("h", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = some.join(first, ["h", "size"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("twin") == F.col("first.twin")) & (F.col("pos") == F.col("first.pos")))
     )
     hit = later.select(
@@ -105,7 +122,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     n_lines and gone (the positions of the deleted lines; null where nothing was deleted)."""
     found = repeats(docs).select(F.col("doc_id").alias("_doc"), F.col("twin").alias("_twin"), F.col("gone").alias("_gone"))
     own = [c for c in docs.columns if c != "text"]
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_twin")), "left")
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.hash("text") == F.col("_twin")), "left")
     cut = lines(F.col("text"))
     kept = F.array_join(F.filter(cut, lambda s, i: ~F.array_contains(F.col("_gone"), i)), "")
     return joined.select(
