@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_forest, jaccard, line_dedup, packing, sharding, token_files, toxicity
+from . import chat_tree, decontaminate, embedding_forest, jaccard, line_dedup, packing, sharding, token_files, toxicity, url_rules
 from .common import scratch, stage, table
 
 
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -7 of control strings, through the prefix tree and back."""
+    text = "</s>[INST] ok [/INST]"
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    tree, members = chat_tree.build(told.unionByName(more))
+    back = chat_tree.read_back(tree, members)
+
+    def turn(t: Column) -> Column:
+        role, said = chat_tree.read_turn(t["segment"])
+        return F.concat(role, F.lit("\n"), said, F.lit("\n"))
+
+    turns = F.array_join(F.transform("turns", turn), "")
+    loss = F.array_join(F.transform("turns", lambda t: chat_tree.unescape(F.coalesce(t["loss"], F.lit("")))), "")
+    formatted = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.length(t["segment"]))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        formatted.alias("formatted_chars"),
+    )
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 16 shards under the law ``key``."""
     out = sharding.assign(table(spark, sf_dir, "documents"), sharding.topology(16))
@@ -20,6 +45,21 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+URL_RULES = [
+    url_rules.Rule("block", "com", "/en/"),
+    url_rules.Rule("allow", "example.com", "/en/7"),
+    url_rules.Rule("allow", "net", "/de/"),
+    url_rules.Rule("block", "example.net", "/de/8"),
+    url_rules.Rule("block", "org", "/es/"),
+]
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the listed rules, else by rules mined from the labels of pages (quality 0 is bad)."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    return url_rules.judge(table(spark, sf_dir, "pages"), labels, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all embeddings within their labels at a cosine of 0.93."""
     return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
@@ -58,6 +98,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_decontamination, op5_embedding_forest, op6_token_files, op7_jaccard_join, op8_line_dedup, op9_packing, op10_toxicity)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_sharding, op3_decontamination, op4_url_rules, op5_embedding_forest, op6_token_files, op7_jaccard_join, op8_line_dedup, op9_packing, op10_toxicity)}
+
+def _escaped_length(x: str) -> str:
+    controls = "|".join("".join(f"\\{c}" if c in "|[]" else c for c in s) for s in chat_tree.CONTROLS)
+    return f"(length({x}) + length({x}) - length(replace({x}, '\\', '')) + 2 * len(regexp_extract_all({x}, '{controls}')))"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_tree": f"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), convs AS (
+            SELECT conv_id, count(*)::BIGINT AS n_turns,
+                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+                coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+                sum(32 + {_escaped_length("role")} + {_escaped_length("text")})::BIGINT AS formatted_chars
+            FROM rows GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM convs
+    """,
+}
