@@ -95,6 +95,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     discard(prints)
     place = F.struct("doc_id", "twin", "pos", "before", "after")
     first = some.groupBy("h", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = stage(first, "first")  # two plain exchanges: a line that fills a partition can be split
     later = some.join(first, ["h", "size"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("twin") == F.col("first.twin")) & (F.col("pos") == F.col("first.pos")))
     )
@@ -118,16 +119,19 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns, text without its later repeated runs, and before it
-    n_lines and gone (the positions of the deleted lines; null where nothing was deleted)."""
+    """The documents with all their columns, text without its later repeated runs, and
+    n_lines, gone (the positions of the deleted lines; null where nothing was deleted) and left
+    (the share of its characters that a text keeps; 1 where nothing was deleted)."""
     found = repeats(docs).select(F.col("doc_id").alias("_doc"), F.col("twin").alias("_twin"), F.col("gone").alias("_gone"))
     own = [c for c in docs.columns if c != "text"]
     joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.hash("text") == F.col("_twin")), "left")
-    cut = lines(F.col("text"))
-    kept = F.array_join(F.filter(cut, lambda s, i: ~F.array_contains(F.col("_gone"), i)), "")
-    return joined.select(
+    cut = joined.select(*own, "text", F.col("_gone").alias("gone"), lines(F.col("text")).alias("_lines"))
+    kept = F.array_join(F.filter("_lines", lambda s, i: ~F.array_contains(F.col("gone"), i)), "")
+    rebuilt = cut.select(*own, F.col("text").alias("_text"), F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), F.size("_lines").alias("_n"), "gone")
+    return rebuilt.select(
         *own,
-        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.when(F.col("text").isNotNull(), F.size(cut)).alias("n_lines"),
-        F.col("_gone").alias("gone"),
+        "text",
+        F.when(F.col("_text").isNotNull(), F.col("_n")).alias("n_lines"),
+        "gone",
+        F.when(F.col("gone").isNull(), F.lit(1.0)).otherwise(F.length("text") / F.length("_text")).alias("left"),
     )
