@@ -5,14 +5,18 @@ inside roles and texts are broken after their first character by ``\\.`` and
 backslashes are doubled, so a text never holds a control string and is read
 back exactly.  Conversations that begin with the same turns share the nodes of
 those turns: a node stands for a turn and all turns before it, and is named by
-a hash of them.  All nodes form one stream in depth-first order, each once.  A
-node carries its place in the stream, the position id of its first character
-(as if its conversation stood alone) and the stream intervals it attends to:
-its ancestors and itself.  Characters are code points.
-
-Depth-first order is the order of the paths of node names, so the stream is
-laid out by a range-partitioned sort and running sums; no tree ever meets in
-one task.  A conversation itself must fit into one row.
+a hash of them.  All nodes form one stream in depth-first order, each once.
+
+Distinct conversations, sorted by their paths of node names, are the leaves in
+depth-first order.  A leaf emits the nodes that no leaf before it holds; they
+are the end of its path, so they lie together in the stream as the leaf's run.
+A node carries its place in the stream and the position id of its first
+character (as if its conversation stood alone); a run carries the stream
+intervals it attends to, one for each run its path crosses, its own last and
+causal.  Characters are code points.  Nothing grows with the square of a
+conversation's length, and no tree ever meets in one task: leaves and nodes are
+laid out by range-partitioned sorts and running sums.  A conversation itself
+must fit into one row.
 
 Null roles and texts count as empty; turns with the same number follow in the
 order of role and text, and repeated rows are repeated turns; null turns come
@@ -71,56 +75,74 @@ def _paths(turns: DataFrame) -> DataFrame:
     return convs.withColumn("path", F.aggregate("segments", F.array().cast("array<string>"), name))
 
 
-def build(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes, and the leaf of every conversation (conv_id, node).
+def _numbered(ordered: DataFrame, value: Column) -> DataFrame:
+    """A staged table in the order of its files, with ``before``: the sum of ``value`` over all earlier rows."""
+    placed = ordered.withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index"), "value": value})
+    totals = placed.groupBy("file").agg(F.sum("value").alias("total"))
+    # files are named by the number of their range, a longer name has a larger one; one row a file
+    earlier = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
+    inside = F.sum("value").over(Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))
+    rows = placed.withColumn("inside", F.coalesce(inside, F.lit(0))).join(bases, "file")
+    return rows.select(*ordered.columns, (F.col("base") + F.col("inside")).alias("before"))
+
+
+def build(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The nodes, the runs, and the run of every conversation (conv_id, leaf).
 
     Nodes: node, parent, depth, segment, length, conversations (how many pass),
-    stream_start, position, attends (array of stream intervals, ancestors first),
-    loss_start and loss_end (the stream interval of a taught text; else null).
+    run, stream_start, position, loss_start and loss_end (the stream interval of
+    a taught text; else null).  Runs: run, leaf, attends (array of run, start, end).
     """
     convs = stage(_paths(turns), "paths", compression="zstd")
-    steps = convs.select(F.posexplode(F.arrays_zip("path", "segments")).alias("depth", "step"), "path")
-    steps = steps.select(F.col("step.path").alias("node"), "depth", F.col("step.segments").alias("segment"), F.slice("path", F.lit(1), F.col("depth") + 1).alias("path"))
-    nodes = steps.groupBy("node").agg(F.first("depth").alias("depth"), F.first("segment").alias("segment"), F.first("path").alias("path"), F.count(F.lit(1)).alias("conversations"))
-    ordered = stage(nodes.withColumn("length", F.length("segment")).repartitionByRange("path").sortWithinPartitions("path"), "nodes", compression="zstd")
-
-    placed = ordered.withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")})
-    totals = placed.groupBy("file").agg(F.sum("length").alias("total"), F.min("path").alias("first"))
-    bases = totals.select("file", F.coalesce(F.sum("total").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inside = F.sum("length").over(Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1))
-    laid = placed.withColumn("inside", F.coalesce(inside, F.lit(0))).join(bases, "file").select(*ordered.columns, (F.col("base") + F.col("inside")).alias("stream_start"))
-    laid = stage(laid, "laid", compression="zstd")
-
-    # a popular ancestor is met by many nodes: one narrow row on its side, split on the other
-    up = laid.select("node", F.explode("path").alias("above"))
-    above = laid.select(F.col("node").alias("above"), "depth", F.col("stream_start").alias("start"), (F.col("stream_start") + F.col("length")).alias("end"), "length")
-    met = up.join(above, "above").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("depth", "start", "end"))).alias("met"), F.sum("length").alias("reach"))
-    attends = F.transform("met", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
-    role, _ = read_turn(F.col("segment"))
-    taught = role == TAUGHT
-    tree = laid.join(met, "node").select(
-        "node",
-        F.get("path", F.col("depth") - 1).alias("parent"),
+    leaf = F.get("path", F.size("path") - 1)
+    leaves = convs.groupBy(leaf.alias("leaf")).agg(F.first("path").alias("path"), F.first("segments").alias("segments"), F.count(F.lit(1)).alias("copies"))
+    ordered = stage(leaves.repartitionByRange("path").sortWithinPartitions("path"), "leaves", compression="zstd")
+    ranked = _numbered(ordered, F.lit(1)).withColumnRenamed("before", "rank")
+
+    steps = ranked.select("rank", "leaf", "copies", F.posexplode(F.arrays_zip("path", "segments")).alias("depth", "step"))
+    own = Window.partitionBy("rank").orderBy("depth")
+    length = F.length("step.segments")
+    steps = steps.select(
+        "rank",
+        "leaf",
+        "copies",
         "depth",
-        "path",
-        "segment",
-        "length",
-        "conversations",
-        "stream_start",
-        (F.col("reach") - F.col("length")).alias("position"),
-        attends.alias("attends"),
-        F.when(taught, F.col("stream_start") + F.locate(SEP, F.col("segment")) + len(SEP) - 1).alias("loss_start"),
-        F.when(taught, F.col("stream_start") + F.col("length") - len(END)).alias("loss_end"),
+        F.col("step.path").alias("node"),
+        F.lag("step.path").over(own).alias("parent"),
+        F.col("step.segments").alias("segment"),
+        length.alias("length"),
+        (F.sum(length).over(own) - length).alias("position"),
+    )
+    steps = stage(steps, "steps", compression="zstd")
+    about = F.min(F.struct("rank", "depth", "parent", "position", "length")).alias("a")
+    nodes = steps.groupBy("node").agg(about, F.first("segment").alias("segment"), F.sum("copies").alias("conversations"))
+    nodes = nodes.select("node", F.col("a.parent").alias("parent"), F.col("a.depth").alias("depth"), "segment", F.col("a.length").alias("length"), "conversations", F.col("a.rank").alias("run"), F.col("a.position").alias("position"))
+    laid = stage(nodes.repartitionByRange("run", "depth").sortWithinPartitions("run", "depth"), "nodes", compression="zstd")
+    role, _ = read_turn(F.col("segment"))
+    taught, start = role == TAUGHT, F.col("stream_start")
+    tree = _numbered(laid, F.col("length")).withColumnRenamed("before", "stream_start")
+    tree = tree.withColumns(
+        {
+            "loss_start": F.when(taught, start + F.locate(SEP, F.col("segment")) + len(SEP) - 1),
+            "loss_end": F.when(taught, start + F.col("length") - len(END)),
+        }
     )
-    return tree, convs.select("conv_id", F.get("path", F.size("path") - 1).alias("node"))
-
-
-def read_back(tree: DataFrame, members: DataFrame) -> DataFrame:
-    """conv_id and turns (array of depth, segment and loss text, in order) of every conversation, from the tree."""
     tree = stage(tree, "tree", compression="zstd")
-    leaves = members.select("node").distinct()
-    steps = tree.join(leaves, "node", "left_semi").select(F.col("node").alias("leaf"), F.explode("path").alias("node"))
-    taken = F.substring("segment", F.col("loss_start") - F.col("stream_start") + 1, (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    told = tree.select("node", "depth", "segment", taken.alias("loss"))
-    turns = steps.join(told, "node").groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("depth", "segment", "loss"))).alias("turns"))
-    return members.join(turns, F.col("node") == F.col("leaf")).select("conv_id", "turns")
+
+    # a popular node is met by many leaves: one narrow row on its side, the other can be split
+    place = stage(tree.select("node", "run", start.alias("start"), (start + F.col("length")).alias("end")), "places")
+    crossed = steps.select("rank", "leaf", "node").join(place, "node").groupBy("rank", "leaf", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    runs = crossed.groupBy("rank", "leaf").agg(F.sort_array(F.collect_list(F.struct("start", "end", "run"))).alias("attends"))
+    return tree, runs.withColumnRenamed("rank", "run"), convs.select("conv_id", leaf.alias("leaf"))
+
+
+def read_back(tree: DataFrame, runs: DataFrame, members: DataFrame) -> DataFrame:
+    """conv_id and turns (array of place, segment and loss text, in order) of every conversation, from the stream its run attends to."""
+    spans = stage(runs.select("leaf", F.inline("attends")), "spans")
+    start = F.col("stream_start")
+    taken = F.substring("segment", F.col("loss_start") - start + 1, (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    told = tree.select("run", "stream_start", "segment", taken.alias("loss"))
+    seen = spans.join(told, "run").where((start >= F.col("start")) & (start < F.col("end")))
+    turns = stage(seen.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("stream_start", "segment", "loss"))).alias("turns")), "turns", compression="zstd")
+    return members.join(turns, "leaf").select("conv_id", "turns")

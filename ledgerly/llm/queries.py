@@ -14,8 +14,7 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
-    tree, members = chat_tree.build(told.unionByName(more))
-    back = chat_tree.read_back(tree, members)
+    back = chat_tree.read_back(*chat_tree.build(told.unionByName(more)))
 
     def turn(t: Column) -> Column:
         role, said = chat_tree.read_turn(t["segment"])
