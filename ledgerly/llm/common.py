@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+#: Shuffle files of a written table go as soon as it is written.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -31,7 +33,12 @@ def scratch(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Writes a table to the shared folder and reads it again: lineage ends there and lost executors cost nothing."""
     spark, path = df.sparkSession, scratch(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

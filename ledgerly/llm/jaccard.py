@@ -43,7 +43,7 @@ from .common import components, discard, hash_map, maybe_in, stage
 #: Points and shingles of a block at most (a block takes two halves).
 BLOCK_POINTS, BLOCK_SHINGLES = 1_024, 500_000
 #: Distinct words a worker remembers the hash of.
-MAX_WORDS = 1_500_000
+MAX_WORDS = 400_000
 
 
 class _Hashes(dict):
@@ -162,7 +162,7 @@ def _join_regions(percent: int):
 def _links(points: DataFrame, percent: int) -> DataFrame:
     """A forest (a, b) over the classes that spans every component of links.  points: class, n, x (staged)."""
     shared = points.select("class", "n", F.explode("x").alias("h"))
-    twice = shared.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    twice = stage(shared.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "twice")
     # a point's shingles that others have too, rarest first
     known = shared.join(twice, "h").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
     own = F.col("n") - F.size("s")
@@ -178,7 +178,7 @@ def _links(points: DataFrame, percent: int) -> DataFrame:
     # regions of the same points are one
     regions = regions.where("points > 1").groupBy("members", "points", "shingles", "pivot").agg(F.min("h").alias("h"))
     halves = F.ceil(F.greatest(F.col("points") / F.lit(BLOCK_POINTS / 2), F.col("shingles") / F.lit(BLOCK_SHINGLES / 2))).cast("int")
-    regions = regions.select("h", "pivot", F.when((F.col("points") <= BLOCK_POINTS) & (F.col("shingles") <= BLOCK_SHINGLES), 1).otherwise(halves).alias("halves"))
+    regions = stage(regions, "regions").select("h", "pivot", F.when((F.col("points") <= BLOCK_POINTS) & (F.col("shingles") <= BLOCK_SHINGLES), 1).otherwise(halves).alias("halves"))
     members = stage(keys.join(regions, "h").select("h", "class", "pivot", "halves"), "members")
     sets = points.select("class", "x")
     small = members.where("halves = 1").select("class", F.struct("h").alias("r"), F.lit(0).alias("ring"), F.lit(0).alias("i"), F.lit(0).alias("j"))
@@ -203,12 +203,15 @@ def _links(points: DataFrame, percent: int) -> DataFrame:
 def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, class, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
     read = stage(_read(docs, words, percent, whole=False), "shingles", compression="zstd")
-    some = read.where("n > 0")
-    classes = stage(some.groupBy("class", "n").agg(F.min("doc_id").alias("first"), F.first("x").alias("x")), "classes", compression="zstd")
-    keys = classes.select("class", "n", "first", F.explode("x").alias("h"))
-    shared = hash_map(keys.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "h")
-    counted = maybe_in(keys, F.col("h"), shared).groupBy("class", "n", "first").agg(F.count(F.lit(1)).alias("c"))
-    candidates = stage(counted.where(F.col("c") >= _needed(F.col("n"), percent)).select(F.col("class").alias("c0"), "first"), "candidates")
+    docs_of = stage(read.select("doc_id", "class", "n"), "classes")
+    keys = read.select("doc_id", "class", "n", F.explode("x").alias("h"))
+    # a shingle of two classes; copies of one text share nothing with others by that
+    shared = hash_map(keys.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi"), "h")
+    counted = maybe_in(keys, F.col("h"), shared).groupBy("doc_id", "class", "n").agg(F.count(F.lit(1)).alias("c"))
+    enough = counted.where(F.col("c") >= _needed(F.col("n"), percent)).groupBy("class").agg(F.lit(1).alias("one"))
+    firsts = docs_of.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
+    candidates = stage(firsts.join(enough, "class", "left_semi").select(F.col("class").alias("c0"), "first"), "candidates")
+    discard(read)
     # their whole sets: the texts are read again, of few documents
     again = maybe_in(docs.select("doc_id", "text"), F.xxhash64("doc_id"), hash_map(candidates.select(F.xxhash64("first").alias("d")), "d"))
     whole = _read(again, words, percent, whole=True).join(candidates, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("class") == F.col("c0")), "left_semi")
@@ -218,10 +221,11 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     points = stage(sets.join(counted.where(F.col("c") * 100 >= F.col("n") * percent).select("class"), "class", "left_semi"), "points", compression="zstd")
     discard(sets)
     found = components(_links(points, percent))
-    of_class = classes.select("class", "first").join(found, F.col("class") == F.col("v"), "left").select("class", "first", F.coalesce("component", "class").alias("component"))
+    of_class = firsts.join(found, F.col("class") == F.col("v"), "left").select("class", "first", F.coalesce("component", "class").alias("component"))
     least = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     named = of_class.join(least, "component").select("class", "component_id")
-    out = read.select("doc_id", "class", "n").join(named, "class", "left")
+    named = stage(named, "named")
+    out = docs_of.join(named, "class", "left")
     return out.select("doc_id", "class", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
