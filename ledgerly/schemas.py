@@ -19,6 +19,10 @@ TABLES = {
 }
 
 
+#: Versions that are still open stand apart from closed ones, which are only ever added to.
+TABLES["movements_open"] = TABLES["movements_history"]
+
+
 def ddl(table: str, amount: str = "decimal(20,2)") -> str:
     return TABLES[table].format(amount=amount)
 
