@@ -12,9 +12,9 @@ at every step:
    further than e from their union, and is alone too.
 3. A region is the set of points around a shingle that is rare among them:
    with rarest shingles first, linked points meet in the region of a shingle of
-   the first D + 1 of both.  Regions of the same points are one.
-4. A region's pivot is the point with the fewest shingles of its own.  Distances
-   to it cut a large region into rings of width e: by the triangle inequality
+   the first D + 1 of both.  A region's pivot is the point with the fewest
+   shingles of its own, and all regions of a pivot are one cell.
+4. Distances to the pivot cut a large cell into rings of width e: by the triangle inequality
    linked points lie in the same or in neighbouring rings, so each ring is
    joined with a copy of the next, in blocks of bounded size.
 5. Within a block every point in turn is a pivot: those within e join its
@@ -172,14 +172,13 @@ def _links(points: DataFrame, percent: int) -> DataFrame:
         "near",
     )
     keys = near.select("class", "n", "own", F.explode("keys").alias("h"))
-    regions = keys.groupBy("h").agg(
-        F.count(F.lit(1)).alias("points"), F.sum("n").alias("shingles"), F.sum(F.xxhash64("class") % F.lit(1 << 40)).alias("members"), F.min(F.struct("own", "class"))["class"].alias("pivot")
-    )
-    # regions of the same points are one
-    regions = regions.where("points > 1").groupBy("members", "points", "shingles", "pivot").agg(F.min("h").alias("h"))
+    meeting = keys.groupBy("h").agg(F.count(F.lit(1)).alias("points"), F.min(F.struct("own", "class"))["class"].alias("pivot")).where("points > 1")
+    # the regions of one pivot are one cell: a point stands once in it
+    cells = stage(keys.join(stage(meeting, "meeting"), "h").select("pivot", "class", "n").distinct(), "cells")
+    regions = cells.groupBy("pivot").agg(F.count(F.lit(1)).alias("points"), F.sum("n").alias("shingles"))
     halves = F.ceil(F.greatest(F.col("points") / F.lit(BLOCK_POINTS / 2), F.col("shingles") / F.lit(BLOCK_SHINGLES / 2))).cast("int")
-    regions = stage(regions, "regions").select("h", "pivot", F.when((F.col("points") <= BLOCK_POINTS) & (F.col("shingles") <= BLOCK_SHINGLES), 1).otherwise(halves).alias("halves"))
-    members = stage(keys.join(regions, "h").select("h", "class", "pivot", "halves"), "members")
+    regions = stage(regions, "regions").select("pivot", F.when((F.col("points") <= BLOCK_POINTS) & (F.col("shingles") <= BLOCK_SHINGLES), 1).otherwise(halves).alias("halves"))
+    members = stage(cells.join(regions, "pivot").select(F.col("pivot").alias("h"), "class", "pivot", "halves"), "members")
     sets = points.select("class", "x")
     small = members.where("halves = 1").select("class", F.struct("h").alias("r"), F.lit(0).alias("ring"), F.lit(0).alias("i"), F.lit(0).alias("j"))
     # large regions: rings around the pivot, and pairs of blocks in every two neighbouring rings
