@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from . import testdata
 from .config import Settings
-from .sources.scratch import written
 from .operators import anomalies, checks, diff, explore, gold, guards, profile, silver, views
+from .schemas import ddl
+from .sources.scratch import written
 
 S = Settings()
 NOW = datetime(2001, 8, 8)
@@ -40,8 +41,6 @@ def states(spark: SparkSession, sf_dir: str) -> dict[str, State]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _known:
         return _known[key]
-    from .schemas import ddl
-
     current = spark.createDataFrame([], ddl("movements_current"))
     history = spark.createDataFrame([], ddl("movements_history"))
     out, offset = {}, 0
@@ -437,7 +436,10 @@ def v_top_changes_by_impact(spark, sf):
 # ---- anomalies
 
 _CUT_DOWN = "CAST(floor(quantile_cont(CAST(round(amount * 100) AS BIGINT), {}) ) / 100 AS DECIMAL(20,2))"
-_LAST = (F.lit("run_c"), F.lit(testdata.DATES["c"]).cast("date"))
+
+
+def _last():
+    return F.lit("run_c"), F.lit(testdata.DATES["c"]).cast("date")
 
 
 @_query(
@@ -445,7 +447,7 @@ _LAST = (F.lit("run_c"), F.lit(testdata.DATES["c"]).cast("date"))
         WHERE q3 > q1 AND (CAST(amount AS DOUBLE) < CAST(q1 AS DOUBLE) - 0.8 * CAST(q3 - q1 AS DOUBLE) OR CAST(amount AS DOUBLE) > CAST(q3 AS DOUBLE) + 0.8 * CAST(q3 - q1 AS DOUBLE))""")
 )
 def anom_amount_outlier(spark, sf):
-    rows = anomalies.amount_outliers(states(spark, sf)["c"].current, _LAST, 0.8)
+    rows = anomalies.amount_outliers(states(spark, sf)["c"].current, _last(), 0.8)
     return rows.select(F.col("entity_id").alias("movement_key"), "observed", "expected")
 
 
@@ -456,7 +458,7 @@ def anom_new_category(spark, sf):
 
 @_query(_with("SELECT CAST(movement_date AS VARCHAR) AS entity_id, CAST(n AS DOUBLE) AS observed, round(mu, 6) AS expected FROM (SELECT movement_date, count(*) AS n FROM act GROUP BY movement_date), (SELECT avg(n) AS mu, stddev_samp(n) AS sd FROM (SELECT count(*) AS n FROM act GROUP BY movement_date)) WHERE sd > 0 AND abs((n - mu) / sd) >= 2"))
 def anom_daily_volume(spark, sf):
-    return anomalies.volume_outliers(states(spark, sf)["c"].current, _LAST, 2.0).select("entity_id", "observed", F.round("expected", 6).alias("expected"))
+    return anomalies.volume_outliers(states(spark, sf)["c"].current, _last(), 2.0).select("entity_id", "observed", F.round("expected", 6).alias("expected"))
 
 
 @_query(_with("SELECT run_id, rows_deleted / CAST(rows_current_before AS DOUBLE) AS observed FROM runs WHERE rows_current_before > 0 AND rows_deleted / CAST(rows_current_before AS DOUBLE) >= 0.1"))
@@ -466,7 +468,7 @@ def anom_deletion_share(spark, sf):
 
 @_query(_with("SELECT type AS entity_id, count(*) FILTER (WHERE amount < 0) / CAST(count(*) AS DOUBLE) AS observed FROM act GROUP BY type HAVING count(*) FILTER (WHERE amount < 0) > 0"))
 def anom_negative_amount(spark, sf):
-    return anomalies.negative_amounts(states(spark, sf)["c"].current, _LAST).select("entity_id", "observed")
+    return anomalies.negative_amounts(states(spark, sf)["c"].current, _last()).select("entity_id", "observed")
 
 
 # ---- profile

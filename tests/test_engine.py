@@ -163,3 +163,12 @@ def test_reactivation_can_be_off(spark):
     s = replace(Settings(), allow_reactivation=False)
     staged = silver.build(raw(spark, [row()]), s, silver.Cut("r", DAY)).staged
     assert diff.counts(diff.classify(staged, spark.createDataFrame([], ddl("movements_current")), s, DAY))["NEW"] == 1
+
+
+def test_registry_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(set(e.oracle_sql()) <= set(e.queries()))"], capture_output=True, text=True, cwd=Path(__file__).parent.parent)
+    assert said.stdout.strip() == "True", said.stderr
