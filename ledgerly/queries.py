@@ -476,13 +476,14 @@ def anom_negative_amount(spark, sf):
 _KEY = "id_raw, movement_date, product, fund, type"
 
 
-@_query(
-    _with("""SELECT count(*) AS rows, count(DISTINCT id_raw) AS distinct_id_cliente, count(*) FILTER (WHERE id_raw IS NULL) AS null_id, count(*) FILTER (WHERE trim(coalesce(id_raw, '')) = '') AS empty_id, count(*) FILTER (WHERE movement_date IS NULL) AS unparseable_date,
+_TOTALS = """SELECT count(*) AS rows, count(DISTINCT id_raw) AS distinct_id_cliente, count(*) FILTER (WHERE id_raw IS NULL) AS null_id, count(*) FILTER (WHERE trim(coalesce(id_raw, '')) = '') AS empty_id, count(*) FILTER (WHERE movement_date IS NULL) AS unparseable_date,
         min(movement_date) AS date_min, max(movement_date) AS date_max, count(DISTINCT movement_date) AS distinct_dates, count(*) FILTER (WHERE amount_raw IS NULL) AS null_amount, CAST(0 AS BIGINT) AS invalid_amount_format,
         count(*) FILTER (WHERE amount_raw IS NOT NULL AND amount IS NULL) AS amount_out_of_range, CAST(0 AS BIGINT) AS non_finite_amount, count(*) FILTER (WHERE amount_raw < 0) AS negative_amount, count(*) FILTER (WHERE amount_raw = 0) AS zero_amount,
         min(amount_raw) AS amount_min, max(amount_raw) AS amount_max, count(*) FILTER (WHERE type IS NULL) AS unmappable_type, count(DISTINCT type_raw) AS distinct_type_raw, count(DISTINCT fund_raw) AS distinct_fund_raw, count(DISTINCT fund) AS distinct_fund_norm,
-        count(*) FILTER (WHERE fund_raw <> trim(fund_raw)) AS fund_with_outer_spaces, count(*) FILTER (WHERE regexp_matches(fund_raw, '\\s\\s')) AS fund_with_double_spaces FROM norm_a""", "a")
-)
+        count(*) FILTER (WHERE fund_raw <> trim(fund_raw)) AS fund_with_outer_spaces, count(*) FILTER (WHERE regexp_matches(fund_raw, '\\s\\s')) AS fund_with_double_spaces FROM norm_a"""
+
+
+@_query(_with(_TOTALS, "a"))
 def prof_summary(spark, sf):
     return profile.summary(states(spark, sf)["a"].silver.normal).drop("amount_avg")
 
@@ -513,7 +514,13 @@ def prof_categoricals(spark, sf):
     return profile.categories(states(spark, sf)["a"].silver.normal)
 
 
-@_query()
+_QUALITY = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"check\", CAST({column} AS BIGINT) AS observed, {column} / CAST(rows AS DOUBLE) AS pct_of_rows, CASE WHEN {column} > 0 THEN '{found}' ELSE '{none}' END AS severity FROM totals"
+    for name, (column, found, none) in profile.QUALITY.items()
+)
+
+
+@_query(_with("", "a").rstrip() + f", totals AS ({_TOTALS}) {_QUALITY}")
 def prof_quality(spark, sf):
     return profile.quality(states(spark, sf)["a"].silver.normal)
 
