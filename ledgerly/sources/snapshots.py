@@ -55,9 +55,19 @@ def discover(spark: SparkSession, where: str, glob: str = "*.parquet") -> list[t
 
 
 def content_hash(spark: SparkSession, path: str) -> str:
-    """SHA-256 of a file's bytes, streamed through the driver in 1 MiB pieces (a snapshot is one file)."""
+    """SHA-256 of a file's bytes, streamed in 1 MiB pieces.  A snapshot that is a folder
+    of files is known by their names, sizes and store checksums (times where the store
+    has none), so that no bytes are read."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(at).isDirectory():
+        found, files = [], fs.listFiles(at, True)
+        while files.hasNext():
+            f = files.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                sum_ = fs.getFileChecksum(f.getPath())
+                found.append((f.getPath().getName(), f.getLen(), sum_.toString() if sum_ else str(f.getModificationTime())))
+        return hashlib.sha256(json.dumps(sorted(found)).encode()).hexdigest()
     digest = spark._jvm.java.security.MessageDigest.getInstance("SHA-256")
     stream = spark._jvm.java.security.DigestInputStream(fs.open(at), digest)
     try:

@@ -14,13 +14,17 @@ from ..plans.runner import Result, Runner
 from ..sources import snapshots
 
 
+#: The columns of the binary file source; only path and length are read.
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
 class ArrivalError(Exception):
     """A cut failed; the stream stops before it counts the batch as done."""
 
 
 def watch(runner: Runner, folder: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Starts to apply the snapshots that land in a folder."""
-    files = runner.spark.readStream.format("binaryFile").option("pathGlobFilter", runner.s.file_glob).load(folder).select("path", "length")
+    files = runner.spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", runner.s.file_glob).load(folder).select("path", "length")
 
     def apply(batch: DataFrame, _: int) -> None:
         found = [snapshots.dated(runner.spark, snapshots.inspect(runner.spark, r["path"], r["length"]), runner.s) for r in batch.collect()]  # a row a file

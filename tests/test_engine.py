@@ -145,10 +145,24 @@ def test_retention_keeps_what_current_needs(spark, tmp_path):
     assert kept == [(1, False), (3, False), (4, True)]
 
 
+def test_arrivals_apply_once(spark, tmp_path):
+    from ledgerly.streaming.arrivals import watch
+
+    r = Runner(spark, f"file://{tmp_path}/store")
+    (tmp_path / "in").mkdir()
+    save(tmp_path / "in/m_2024-10-15.parquet", ids({1: 1, 2: 2}))
+    for _ in range(2):
+        watch(r, f"file://{tmp_path}/in", f"file://{tmp_path}/offsets", once=True).awaitTermination()
+    assert r.runs().count() == 1 and r.gold.read("movements_current").count() == 2
+
+
 def test_schema_problems_and_store_errors(spark, tmp_path):
     bad = save(tmp_path / "x_2024-10-15.parquet", [row()])
     assert snapshots.check_schema({c: "string" for c in BASE if c != "fund"}, Settings().contract) == ["missing column fund"]
     assert snapshots.content_hash(spark, bad) == __import__("hashlib").sha256(open(bad, "rb").read()).hexdigest()
+    raw(spark, ids({1: 1, 2: 2})).repartition(2).write.parquet(f"file://{tmp_path}/folder_2024-10-15.parquet")
+    found = snapshots.candidates(spark, f"file://{tmp_path}/folder_2024-10-15.parquet", Settings())
+    assert [(f.row_count, f.snapshot_date, len(f.sha256)) for f in found] == [(2, DAY, 64)]
     with pytest.raises(StoreError):
         Store(spark, f"file://{tmp_path}/none", read_only=True)
     one, two = Store(spark, f"file://{tmp_path}/s"), Store(spark, f"file://{tmp_path}/s")
