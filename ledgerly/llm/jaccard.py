@@ -43,7 +43,7 @@ from .common import components, discard, hash_map, maybe_in, stage
 #: Points and shingles of a block at most (a block takes two halves).
 BLOCK_POINTS, BLOCK_SHINGLES = 1_024, 500_000
 #: Distinct words a worker remembers the hash of.
-MAX_WORDS = 400_000
+MAX_WORDS = 250_000
 
 
 class _Hashes(dict):

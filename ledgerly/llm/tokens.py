@@ -18,7 +18,7 @@ import re
 import numpy as np
 
 #: Distinct words remembered in one worker process; beyond it memory starts anew.
-MAX_WORDS = 1_200_000
+MAX_WORDS = 400_000
 
 _WORD_END = "</w>"
 #: Before a piece that goes through the full tokenizer; no plain text holds it.

@@ -38,6 +38,8 @@ BEGINNINGS = (5, 6, 7, 8)
 #: Least log-likelihood ratio of a feature with the label, and least documents.
 SIGNIFICANT, LEAST = 18.0, 4
 THRESHOLD = 0.3
+#: Distinct words a task remembers the class of.
+MAX_WORDS = 150_000
 
 TARGET = frozenset("you your yours he him his she her they them their u du dich dir ihr euch sie er tu te toi vous votre il elle ils tú ti usted ustedes él ella ellos".split())
 NEGATION = frozenset("not no never isn't aren't don't nobody nicht kein keine nie niemals ne pas jamais aucun nunca jamás ni".split())
@@ -80,7 +82,7 @@ class _Classes(dict):
             out = (QUOTE if word in "\"“”«»" else END, 0.0)
         else:
             out = (next((c for c, own in ((AIM, TARGET), (NOT, NEGATION), (SAID, REPORT), (THREAT, MENACE)) if word in own), OTHER), 0.0)
-        if len(self) < 1_000_000:
+        if len(self) < MAX_WORDS:
             self[word] = out
         return out
 
