@@ -1,7 +1,7 @@
 """The corpus pipeline: documents through five stages, each written and read again.
 
 Toxic documents go; later repeats of runs of lines go, and with them documents
-of which too little is left to be more than a copy's remains; of each group of near copies the document with the
+that held nothing else; of each group of near copies the document with the
 smallest doc_id stays; documents that hold a benchmark item go; the rest is
 packed into sequences of at most 2,048 ids.  A stage works on all that its
 predecessor kept.  Clean documents pass every stage unchanged.
@@ -19,9 +19,6 @@ from ledgerly.llm.common import stage, table
 
 #: A document goes when it is more likely toxic than not.
 TOXIC = 0.5
-#: A document goes with its repeated lines when a smaller share of its characters is left.
-#: A copy at a similarity of 0.8 differs in every 45th word or less, so in 18 % of its lines.
-LEFT = 0.3
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -33,8 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without later repeats of runs of lines; documents of which less than LEFT is left go."""
-    out = line_dedup.dedup(docs).where(F.col("left") >= LEFT)
+    """Without later repeats of runs of lines; documents that are blank after the cut go."""
+    out = line_dedup.dedup(docs).where(F.col("gone").isNull() | (F.trim("text", F.lit(" \n")) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

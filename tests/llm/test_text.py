@@ -162,3 +162,11 @@ def test_pipeline(spark, corpus):
     out = corpus_pipeline.run(spark, corpus).collect()
     assert {r["doc_id"] for r in out} == {i for i in range(120) if i % 3} | set(range(120, 125))
     assert all(len(r["ids"]) == r["length"] for r in out)
+
+
+def test_own_text_beside_a_shared_passage_survives(spark):
+    rng = random.Random(6)
+    passage, own = [" ".join(sentence(rng) for _ in range(n)) for n in (9, 3)]
+    docs = docs_of(spark, [sentence(rng) + "\n" + passage, passage + "\n" + own, passage])
+    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert out == {0: (docs.first()["text"], len(docs.first()["text"])), 1: (own, len(own))}
