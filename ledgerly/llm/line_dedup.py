@@ -1,24 +1,28 @@
 """Line dedup by winnowing over line hashes.
 
 A text is a row of lines: it is cut after every line end and, as running text
-often comes as one long line, after every sentence end.  Of every two
-neighbouring lines the one with the smaller hash is a fingerprint (a line of
-few words only if both are short); long lines always are.  So any repeated run
-of two lines, and any repeated long line, holds a fingerprint.  Fingerprints
-meet their first place in the corpus (by document, then position) in a join on
-the hash; since at most one line lies between two fingerprints, comparing both
-neighbours of a fingerprint extends its match both ways over the whole run.
-Runs of enough words are deleted where they repeat, and stay at the first place.
-
-Built from SQL functions only.  Lines meet by 64-bit hash and length.  Null
-text stays null.  Rows with equal doc_id and equal text count as one document
-and are treated alike; null doc_ids come first.  The first place of a line is
-never deleted, so no content vanishes from the corpus.
+often comes as one long line, after every sentence end.  What repeats is a run:
+lines of RUN words or more that stood in the same order at an earlier place of
+the corpus (by document, then position).  All lines of such a run are deleted;
+blank ones don't count and go with the line before them, or, at the start of a
+text, with the first one.
+
+Winnowing guarantees matches from a threshold on and ignores those below
+another one.  Here both are RUN words, so the window is one fingerprint wide
+and none is left out: the fingerprints are the shortest runs of RUN words that
+begin at a line, and the shortest that end at one.  Every longer run is a union
+of these, so each fingerprint meets the first place of its own hash only, and a
+run is found whatever its lines stood beside elsewhere.
+
+Built from SQL functions only.  Runs meet by 64-bit hash and the length of
+their first line.  Null text stays null.  Rows with equal doc_id and equal text
+count as one document and are treated alike; null doc_ids come first.  The first
+place of a line is never deleted, so no content vanishes from the corpus.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, hash_map, maybe_in, stage
@@ -27,9 +31,8 @@ from .common import discard, hash_map, maybe_in, stage
 ENDS = ("\n", ". ", "! ", "? ", "; ")
 _MARK = "\x01"
 _CUT = r"(?<=\n)|(?<=[.!?;] )"
-#: Words of a line that is a fingerprint by itself, of a line that one can be at all
-#: beside a longer one, and of a run worth deleting.
-LONG, SHORT, RUN = 13, 4, 8
+#: Words of a run worth deleting.
+RUN = 8
 
 
 def lines(text: Column) -> Column:
@@ -42,43 +45,44 @@ def lines(text: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, twin (a hash of the text), pos, h, size, words, and hash and words of both neighbours."""
+    """doc_id, twin (a hash of the text), h and size of a shortest run, and its first and last position."""
     trimmed = F.transform(lines(F.col("text")), lambda s: F.trim(s, F.lit(" \n")))
     known = F.transform(
         trimmed,
-        lambda s: F.struct(
+        lambda s, i: F.struct(
             F.xxhash64(s).alias("h"),
             F.length(s).alias("size"),
-            F.when(s == "", 0).otherwise(F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("words"),
+            (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("words"),
+            i.alias("at"),
         ),
     )
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.hash("text").alias("twin"), known.alias("a"))
-    # the order in a window: lines of few words last
-    rank = F.transform("a", lambda x: F.shiftrightunsigned(x["h"], 2) + F.when(x["words"] < SHORT, F.lit(1 << 62)).otherwise(F.lit(0)))
-    rows = rows.select("doc_id", "twin", "a", rank.alias("r"))
-
-    def won(x: Column, i: Column) -> Column:
-        r, last = F.get("r", i), F.lit((1 << 63) - 1)
-        return (x["words"] >= LONG) | ((x["words"] > 0) & ((r <= F.coalesce(F.get("r", i - 1), last)) | (r <= F.coalesce(F.get("r", i + 1), last))))
-
-    places = F.filter(F.transform("a", lambda x, i: F.when(won(x, i), i)), lambda i: i.isNotNull())
-    pos = rows.select("doc_id", "twin", "a", F.explode(places).alias("pos"))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.hash("text").alias("twin"), known.alias("every"))
+    rows = rows.select("doc_id", "twin", F.size("every").alias("n"), F.filter("every", lambda x: x["size"] > 0).alias("a"))
+    rows = rows.select("doc_id", "twin", "n", "a", F.explode(F.sequence(F.lit(0), F.size("a") - 1)).alias("i")).where(F.size("a") > 0)
 
     def at(i: Column) -> Column:
         return F.get("a", i)
 
-    here, before, after = at(F.col("pos")), at(F.col("pos") - 1), at(F.col("pos") + 1)
-    return pos.select(
+    def reach(step: int) -> Column:
+        """The number of lines, from this one on in a direction, that first have RUN words; null if none."""
+        sums = [at(F.col("i"))["words"]]
+        for k in range(1, RUN):
+            sums.append(sums[-1] + at(F.col("i") + step * k)["words"])
+        return F.coalesce(*[F.when(x >= RUN, k) for k, x in enumerate(sums, 1)])
+
+    rows = rows.select("doc_id", "twin", "n", "a", "i", reach(1).alias("on"), reach(-1).alias("back"))
+    some = F.array(F.struct(F.col("i").alias("i"), F.col("on").alias("k")), F.struct((F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("k")))
+    # a line of RUN words is both
+    runs = F.when(F.col("on") == 1, F.slice(some, 1, 1)).otherwise(some)
+    rows = rows.select("doc_id", "twin", "n", "a", F.inline(runs)).where("k IS NOT NULL")
+    first, after = at(F.col("i")), at(F.col("i") + F.col("k"))
+    return rows.select(
         "doc_id",
         "twin",
-        "pos",
-        here["h"].alias("h"),
-        here["size"].alias("size"),
-        here["words"].alias("words"),
-        before["h"].alias("before"),
-        before["words"].alias("words_before"),
-        after["h"].alias("after"),
-        after["words"].alias("words_after"),
+        F.when(F.col("k") == 1, first["h"]).otherwise(F.xxhash64(F.slice(F.col("a")["h"], F.col("i") + 1, F.col("k")))).alias("h"),
+        first["size"].alias("size"),
+        F.when(F.col("i") == 0, 0).otherwise(first["at"]).alias("pos"),
+        (F.coalesce(after["at"], F.col("n")) - 1).alias("end"),
     )
 
 
@@ -93,29 +97,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     prints = stage(fingerprints(docs), "fingerprints", compression="zstd")
     some = stage(repeated(prints), "repeated", compression="zstd")
     discard(prints)
-    place = F.struct("doc_id", "twin", "pos", "before", "after")
+    place = F.struct("doc_id", "twin", "pos")
     first = some.groupBy("h", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    first = stage(first, "first")  # two plain exchanges: a line that fills a partition can be split
+    first = stage(first, "first")  # two plain exchanges: a run that fills a partition can be split
     later = some.join(first, ["h", "size"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("twin") == F.col("first.twin")) & (F.col("pos") == F.col("first.pos")))
     )
-    hit = later.select(
-        "doc_id",
-        "twin",
-        F.inline(
-            F.array_compact(
-                F.array(
-                    F.when(F.col("before") == F.col("first.before"), F.struct((F.col("pos") - 1).alias("pos"), F.col("words_before").alias("words"))),
-                    F.struct("pos", "words"),
-                    F.when(F.col("after") == F.col("first.after"), F.struct((F.col("pos") + 1).alias("pos"), F.col("words_after").alias("words"))),
-                )
-            )
-        ),
-    )
-    own = Window.partitionBy("doc_id", "twin")
-    runs = hit.distinct().withColumn("run", F.col("pos") - F.row_number().over(own.orderBy("pos")))
-    words = F.sum("words").over(Window.partitionBy("doc_id", "twin", "run"))
-    return runs.withColumn("total", words).where(F.col("total") >= RUN).groupBy("doc_id", "twin").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
+    gone = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", "end")))))
+    return later.groupBy("doc_id", "twin").agg(gone.alias("gone"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:

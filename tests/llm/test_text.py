@@ -1,6 +1,7 @@
 """Line dedup, near copies, decontamination, toxicity and the pipeline."""
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -170,3 +171,41 @@ def test_own_text_beside_a_shared_passage_survives(spark):
     docs = docs_of(spark, [sentence(rng) + "\n" + passage, passage + "\n" + own, passage])
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
     assert out == {0: (docs.first()["text"], len(docs.first()["text"])), 1: (own, len(own))}
+
+
+def by_brute_force(texts, run=8):
+    """The lines to delete: in a run of ``run`` words or more that stood earlier; blank ones go with the line before."""
+    seen, gone = set(), {}
+    for d, text in enumerate(texts):
+        cut = [s.strip(" \n") for s in re.split(r"(?<=\n)|(?<=[.!?;] )", text)]
+        full = [i for i, s in enumerate(cut) if s]
+        own = set()
+        for x in range(len(full)):
+            for y in range(x + 1, len(full) + 1):
+                key = tuple(cut[i] for i in full[x:y])
+                if sum(len(s.split(" ")) for s in key) >= run:
+                    if key in seen:
+                        own |= set(range(full[x] if x else 0, full[y] if y < len(full) else len(cut)))
+                    seen.add(key)
+        gone[d] = sorted(own) or None
+    return gone
+
+
+def gone_of(spark, texts):
+    return {r["doc_id"]: r["gone"] for r in line_dedup.dedup(docs_of(spark, texts)).collect()}
+
+
+@pytest.mark.parametrize("words", [8, 9, 10, 11, 12])
+def test_single_lines_beside_other_neighbours(spark, words):
+    rng = random.Random(words)
+    lines = [sentence(rng, words) for _ in range(6)]
+    texts = [sentence(rng, 20) + "\n" + lines[i % 6] + "\n" + sentence(rng, 20) for i in range(60)]
+    gone = gone_of(spark, texts)
+    assert gone == by_brute_force(texts) and sum(g == [1] for g in gone.values()) == 54
+
+
+def test_line_dedup_against_brute_force(spark):
+    rng = random.Random(8)
+    pool = [sentence(rng, n) for n in (1, 1, 2, 3, 4, 5, 7, 8, 9, 13)] + ["", " "]
+    texts = ["".join(rng.choice(pool) + rng.choice("\n ") for _ in range(rng.randrange(1, 14))) for _ in range(150)]
+    assert gone_of(spark, texts) == by_brute_force(texts)
