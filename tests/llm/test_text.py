@@ -204,6 +204,15 @@ def test_single_lines_beside_other_neighbours(spark, words):
     assert gone == by_brute_force(texts) and sum(g == [1] for g in gone.values()) == 54
 
 
+def test_passages_around_a_frequent_line(spark):
+    rng = random.Random(7)
+    often, a, b = [sentence(rng, n) for n in (9, 5, 6)]
+    texts = [sentence(rng, 20) + "\n" + often + "\n" + sentence(rng, 20)]
+    texts += [sentence(rng, 20) + "\n" + "\n".join([a, often, b]) + "\n" + sentence(rng, 20) for _ in range(4)]
+    gone = gone_of(spark, texts)
+    assert gone == by_brute_force(texts) and [gone[i] for i in (1, 2, 3, 4)] == [[2], *[[1, 2, 3]] * 3]
+
+
 def test_line_dedup_against_brute_force(spark):
     rng = random.Random(8)
     pool = [sentence(rng, n) for n in (1, 1, 2, 3, 4, 5, 7, 8, 9, 13)] + ["", " "]
