@@ -3,8 +3,8 @@
 Labelled URLs become sets of tokens (labels of the host and words in them,
 segments of the path, names in the query, the scheme).  Spark's FP-growth mines
 token combinations that go with the bad label; rules of enough support and
-confidence stay, without those that a shorter rule of at least their confidence
-implies.  An inverted index from token to rule matches them: a rule fires when
+confidence stay, all of them but those that a shorter rule of at least their
+confidence implies.  An inverted index from token to rule matches them: a rule fires when
 all of its tokens met.  Listed host and path rules come before mined ones.
 
 SQL functions and the JVM's FP-growth only.  Null URLs and those without
@@ -17,13 +17,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
 
-#: Labelled pages that are mined at most; rules that are kept at most, the most confident.
-MAX_TRAIN, MAX_RULES = 50_000, 10_000
+#: Labelled pages that are mined at most; they bound the rules.
+MAX_TRAIN = 50_000
 #: Labelled pages a rule must hold for, and the least share of bad ones.
 SUPPORT, CONFIDENCE = 30, 0.5
 _BAD = "label=bad"
@@ -87,23 +87,31 @@ def mine(pages: DataFrame, labels: DataFrame, support: int = SUPPORT, confidence
     schema = "rule int, tokens array<string>, confidence double, pages long"
     if not n:
         return known.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support / n), minConfidence=confidence).fit(known)
-    found = model.associationRules.where(F.col("consequent")[0] == _BAD)
-    found = found.orderBy(F.desc("confidence"), F.desc("support"), F.array_sort("antecedent")).limit(MAX_RULES).collect()  # MAX_RULES rows at most
-    kept: list[tuple[frozenset, float, int]] = []
-    for r in sorted(found, key=lambda r: (len(r["antecedent"]), sorted(r["antecedent"]))):
-        own = frozenset(r["antecedent"])
-        if not any(k < own and c >= r["confidence"] for k, c, _ in kept):
-            kept.append((own, r["confidence"], round(r["support"] * n)))
-    return known.sparkSession.createDataFrame([(i, sorted(k), float(c), s) for i, (k, c, s) in enumerate(kept)], schema)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support / n), minConfidence=1.0).fit(known)
+    sets = stage(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    bad = F.array_contains("items", _BAD)
+    both = sets.where(bad & (F.size("items") > 1)).select(F.array_remove("items", _BAD).alias("tokens"), F.col("freq").alias("pages"))
+    every = both.join(sets.where(~bad).select(F.col("items").alias("tokens"), "freq"), "tokens")
+    every = stage(every.select("tokens", (F.col("pages") / F.col("freq")).alias("confidence"), "pages"), "rules")
+    # with a combination, all parts of it are frequent: the most confident part of any size comes up token by token
+    level = every.where(F.size("tokens") == 1).withColumn("part", F.lit(-1.0))
+    kept = level
+    for size in range(2, (every.agg(F.max(F.size("tokens"))).first()[0] or 0) + 1):
+        below = level.select(F.col("tokens").alias("shorter"), F.greatest("confidence", "part").alias("part"))
+        parts = every.where(F.size("tokens") == size).withColumn("shorter", F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t))))
+        level = stage(parts.join(below, "shorter").groupBy("tokens", "confidence", "pages").agg(F.max("part").alias("part")), "level")
+        kept = kept.unionByName(level)
+    kept = kept.where((F.col("confidence") >= confidence) & (F.col("confidence") > F.col("part")))
+    number = F.row_number().over(Window.orderBy(F.size("tokens"), "tokens")) - 1  # only of rules that nothing shorter implies
+    return stage(kept.select(number.alias("rule"), "tokens", "confidence", "pages"), "kept")
 
 
 def fired(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """page_id, url, and the most confident rule of all whose tokens a URL has."""
     index = rules.select("rule", "confidence", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
     rows = pages.select("page_id", "url").distinct().select("page_id", "url", F.explode(tokens(F.col("url"))).alias("token"))
-    # MAX_RULES bounds the index
-    met = rows.join(F.broadcast(index), "token").groupBy("page_id", "url", "rule", "confidence", "size").agg(F.count(F.lit(1)).alias("n"))
+    # the rules are a written table: Spark broadcasts the index where it is small enough
+    met = rows.join(index, "token").groupBy("page_id", "url", "rule", "confidence", "size").agg(F.count(F.lit(1)).alias("n"))
     return met.where(F.col("n") == F.col("size")).groupBy("page_id", "url").agg(F.max(F.struct("confidence", "rule")).alias("fired"))
 
 

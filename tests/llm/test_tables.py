@@ -1,5 +1,6 @@
 """Shards, chats, URLs and embeddings."""
 
+import itertools
 import random
 import zlib
 
@@ -76,6 +77,34 @@ def test_url_mining(spark):
     assert fired == {i for i, _, bad in rows if bad}
 
 
+def test_url_mining_keeps_the_weaker_word(spark):
+    kinds = [("strong", 100, 100), ("weak", 100, 70), ("plain", 800, 0)]
+    rows = [(f"http://{word}.site.net/a/b/c/d/e/f/g/h", i < bad) for word, n, bad in kinds for i in range(n)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, bad boolean")
+    rules = url_rules.mine(pages.select("page_id", "url"), pages.select("page_id", "bad"))
+    found = {(*r["tokens"], round(r["confidence"], 2), r["pages"]) for r in rules.collect()}
+    assert found == {(mark + word, share, n) for mark in ("host:", "word:") for word, share, n in (("strong", 1.0, 100), ("weak", 0.7, 70))}
+    assert {r["page_id"] for r in url_rules.fired(pages, rules).collect()} == set(range(200))
+
+
+def test_url_mining_against_all_combinations(spark):
+    rng = random.Random(9)
+    urls = ["x://" + "/".join(["h", *(t for t in "abcde" if rng.random() < 0.6)]) for _ in range(400)]
+    bad = [rng.random() < (0.8 if "/a" in u and "/b" not in u else 0.7 if "/c/d" in u else 0.3) for u in urls]
+    pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(zip(urls, bad))], "page_id long, url string, bad boolean")
+    rules = url_rules.mine(pages.select("page_id", "url"), pages.select("page_id", "bad"))
+    sets = [{"host:h", "word:h", "scheme:x", *(f"path:{t}" for t in u.split("/")[3:])} for u in urls]
+    every = sorted(set().union(*sets))
+    raw = {}
+    for k in range(1, len(every) + 1):
+        for own in map(frozenset, itertools.combinations(every, k)):
+            marks = [b for x, b in zip(sets, bad) if own <= x]
+            if sum(marks) >= url_rules.SUPPORT and sum(marks) / len(marks) >= url_rules.CONFIDENCE:
+                raw[own] = sum(marks) / len(marks)
+    best = {own: c for own, c in raw.items() if not any(k < own and raw[k] >= c for k in raw)}
+    assert len(best) > 3 and {frozenset(r["tokens"]): r["confidence"] for r in rules.collect()} == best
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(7)
     base = rng.standard_normal((60, 16))
