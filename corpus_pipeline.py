@@ -17,16 +17,14 @@ from pyspark.sql import functions as F
 from ledgerly.llm import decontaminate, jaccard, line_dedup, packing, toxicity
 from ledgerly.llm.common import stage, table
 
-#: A document goes when it is more likely toxic than not.
-TOXIC = 0.5
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents whose toxicity, learned from ``labels``, is TOXIC or more."""
+    """Without the documents that op10 predicts toxic, as learned from ``labels``."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("toxicity") < TOXIC).drop("toxicity")
+    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

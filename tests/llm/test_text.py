@@ -6,6 +6,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerly.llm import decontaminate, jaccard, line_dedup, toxicity
@@ -218,3 +219,12 @@ def test_line_dedup_against_brute_force(spark):
     pool = [sentence(rng, n) for n in (1, 1, 2, 3, 4, 5, 7, 8, 9, 13)] + ["", " "]
     texts = ["".join(rng.choice(pool) + rng.choice("\n ") for _ in range(rng.randrange(1, 14))) for _ in range(150)]
     assert gone_of(spark, texts) == by_brute_force(texts)
+
+
+def test_pipeline_drops_what_op10_predicts(spark, monkeypatch):
+    docs = docs_of(spark, ["a", "b", "c"])
+    score = F.when(F.col("doc_id") == 0, 0.29).when(F.col("doc_id") == 1, toxicity.THRESHOLD).otherwise(0.49)
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels: None)
+    monkeypatch.setattr(toxicity, "score", lambda docs, model: docs.withColumn("toxicity", score))
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: None)
+    assert [r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, "").collect()] == [0]
