@@ -10,9 +10,10 @@ text, with the first one.
 Winnowing guarantees matches from a threshold on and ignores those below
 another one.  Here both are RUN words, so the window is one fingerprint wide
 and none is left out: the fingerprints are the shortest runs of RUN words that
-begin at a line, and the shortest that end at one.  Every longer run is a union
-of these, so each fingerprint meets the first place of its own hash only, and a
-run is found whatever its lines stood beside elsewhere.
+begin at a line, and the shortest that end at one: beside a match, they are the
+steps by which it extends both ways.  Every longer run is a union of these, so each
+fingerprint meets the first place of its own hash only, and a run is found
+whatever its lines stood beside elsewhere.
 
 Built from SQL functions only.  Runs meet by 64-bit hash and the length of
 their first line.  Null text stays null.  Rows with equal doc_id and equal text
@@ -22,10 +23,12 @@ place of a line is never deleted, so no content vanishes from the corpus.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, hash_map, maybe_in, stage
+from .common import discard, stage
 
 #: Ends of lines; the pieces between cuts after them spell the text.
 ENDS = ("\n", ". ", "! ", "? ", "; ")
@@ -33,94 +36,120 @@ _MARK = "\x01"
 _CUT = r"(?<=\n)|(?<=[.!?;] )"
 #: Words of a run worth deleting.
 RUN = 8
+#: A run's words and lines in one number: more than the lines of any shortest run.
+_LINE = 16
+
+
+def _marked(text: Column) -> Column:
+    for end in ENDS:
+        text = F.replace(text, F.lit(end), F.lit(end + _MARK))
+    return text
 
 
 def lines(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
-    marked = text
-    for end in ENDS:
-        marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
     # the plain split is the fast one; a text that holds the mark itself is cut by pattern
-    return F.when(F.contains(text, F.lit(_MARK)), F.split(text, _CUT, -1)).otherwise(F.split(marked, _MARK, -1))
+    return F.when(F.contains(text, F.lit(_MARK)), F.split(text, _CUT, -1)).otherwise(F.split(_marked(text), _MARK, -1))
+
+
+def count_lines(text: Column) -> Column:
+    """The number of lines, without cutting."""
+    return F.when(F.contains(text, F.lit(_MARK)), F.size(F.split(text, _CUT, -1))).otherwise(F.octet_length(_marked(text)) - F.octet_length(text) + 1)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, twin (a hash of the text), h and size of a shortest run, and its first and last position."""
+    """doc_id, twin (a hash of the text), h and size of each shortest run, and its first and last position.
+
+    A run that is shortest from both of its ends is given once.
+    """
     trimmed = F.transform(lines(F.col("text")), lambda s: F.trim(s, F.lit(" \n")))
-    known = F.transform(
-        trimmed,
-        lambda s, i: F.struct(
-            F.xxhash64(s).alias("h"),
-            F.length(s).alias("size"),
-            (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("words"),
-            i.alias("at"),
-        ),
-    )
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.hash("text").alias("twin"), known.alias("every"))
-    rows = rows.select("doc_id", "twin", F.size("every").alias("n"), F.filter("every", lambda x: x["size"] > 0).alias("a"))
-    rows = rows.select("doc_id", "twin", "n", "a", F.explode(F.sequence(F.lit(0), F.size("a") - 1)).alias("i")).where(F.size("a") > 0)
-
-    def at(i: Column) -> Column:
-        return F.get("a", i)
-
-    def reach(step: int) -> Column:
-        """The number of lines, from this one on in a direction, that first have RUN words; null if none."""
-        sums = [at(F.col("i"))["words"]]
-        for k in range(1, RUN):
-            sums.append(sums[-1] + at(F.col("i") + step * k)["words"])
-        return F.coalesce(*[F.when(x >= RUN, k) for k, x in enumerate(sums, 1)])
-
-    rows = rows.select("doc_id", "twin", "n", "a", "i", reach(1).alias("on"), reach(-1).alias("back"))
-    some = F.array(F.struct(F.col("i").alias("i"), F.col("on").alias("k")), F.struct((F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("k")))
-    # a line of RUN words is both
-    runs = F.when(F.col("on") == 1, F.slice(some, 1, 1)).otherwise(some)
-    rows = rows.select("doc_id", "twin", "n", "a", F.inline(runs)).where("k IS NOT NULL")
-    first, after = at(F.col("i")), at(F.col("i") + F.col("k"))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("twin"), trimmed.alias("every"))
+    at = F.filter(F.transform("every", lambda s, i: F.when(s != "", i)), lambda i: i.isNotNull())
+    rows = rows.select("doc_id", "twin", F.size("every").alias("n"), F.filter("every", lambda s: s != "").alias("s"), at.alias("at"))
+    # one plain array each: what follows reads single elements, never copies the document's lines
+    words = F.transform("s", lambda s: F.octet_length(s) - F.octet_length(F.replace(s, F.lit(" "), F.lit(""))) + 1)
+    size = F.transform("s", lambda s: F.octet_length(s))
+    rows = rows.select("doc_id", "twin", "n", "at", F.transform("s", lambda s: F.xxhash64(s)).alias("h"), size.alias("size"), words.alias("words"))
+
+    def reach(lines_from: Callable[[Column], Column]) -> Column:
+        """For each line, _LINE times the words of the shortest run from it on in a direction, and its lines; less than RUN * _LINE if none."""
+
+        def add(sums: Column, w: Column) -> Column:
+            return F.when(sums >= RUN * _LINE, sums).otherwise(sums + w * _LINE + 1)
+
+        return F.transform("words", lambda w, i: F.when(w >= RUN, w * _LINE + 1).otherwise(F.aggregate(lines_from(i), F.lit(0), add)))
+
+    on = reach(lambda i: F.slice("words", i + 1, F.lit(RUN)))
+    back = reach(lambda i: F.reverse(F.slice("words", F.greatest(i + 2 - RUN, F.lit(1)), F.least(i + 1, F.lit(RUN)))))
+    rows = rows.select("doc_id", "twin", "n", "h", "size", "at", "words", on.alias("on"), back.alias("back"))
+    # no filter on what was cut: it would be pushed below the cut and cut every text twice
+    rows = rows.select("*", F.explode(F.when(F.size("h") > 0, F.sequence(F.lit(0), F.size("h") - 1))).alias("i"))
+    on, back = F.get("on", F.col("i")), F.get("back", F.col("i"))
+    # a run back from its last line that has RUN words without that line is shortest from one end only
+    back = F.when(back - F.get("words", F.col("i")) * _LINE >= RUN * _LINE, back % _LINE)
+    rows = rows.select("doc_id", "twin", "n", "h", "size", "at", "i", F.when(on >= RUN * _LINE, on % _LINE).alias("on"), back.alias("back"))
+    starts = F.array(F.struct(F.col("i").alias("first"), F.col("on").alias("k")), F.struct((F.col("i") - F.col("back") + 1).alias("first"), F.col("back").alias("k")))
+    one = F.when(F.col("back").isNull(), F.slice(starts, 1, 1)).otherwise(starts)
+    rows = rows.select("doc_id", "twin", "n", "h", "size", "at", F.inline(one)).where("k IS NOT NULL")
+    first = F.col("first")
     return rows.select(
         "doc_id",
         "twin",
-        F.when(F.col("k") == 1, first["h"]).otherwise(F.xxhash64(F.slice(F.col("a")["h"], F.col("i") + 1, F.col("k")))).alias("h"),
-        first["size"].alias("size"),
-        F.when(F.col("i") == 0, 0).otherwise(first["at"]).alias("pos"),
-        (F.coalesce(after["at"], F.col("n")) - 1).alias("end"),
+        F.when(F.col("k") == 1, F.get("h", first)).otherwise(F.xxhash64(F.slice("h", first + 1, F.col("k")))).alias("h"),
+        F.get("size", first).alias("size"),
+        F.when(first == 0, 0).otherwise(F.get("at", first)).alias("pos"),
+        (F.coalesce(F.get("at", first + F.col("k")), F.col("n")) - 1).alias("end"),
     )
 
 
-def repeated(prints: DataFrame) -> DataFrame:
-    """The fingerprints whose hash may occur twice: a map of fixed size tells; it lets some others pass."""
-    twice = prints.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return maybe_in(prints, F.col("h"), hash_map(twice, "h"))
-
-
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, twin and the ascending positions of the lines to delete."""
     prints = stage(fingerprints(docs), "fingerprints", compression="zstd")
-    some = stage(repeated(prints), "repeated", compression="zstd")
-    discard(prints)
-    place = F.struct("doc_id", "twin", "pos")
-    first = some.groupBy("h", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    first = stage(first, "first")  # two plain exchanges: a run that fills a partition can be split
-    later = some.join(first, ["h", "size"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("twin") == F.col("first.twin")) & (F.col("pos") == F.col("first.pos")))
-    )
-    gone = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", "end")))))
-    return later.groupBy("doc_id", "twin").agg(gone.alias("gone"))
+    # the first document of each run that stands twice; null ids come first
+    least = F.when(F.count("doc_id") == F.count(F.lit(1)), F.min("doc_id")).alias("first")
+    twice = prints.groupBy("h", "size").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = stage(twice, "twice")  # two plain exchanges meet: a run that fills a partition can be split
+    own = F.col("doc_id").eqNullSafe(F.col("first")).alias("own")
+    met = stage(prints.join(twice, ["h", "size"]).select(*prints.columns, own), "met", compression="zstd")
+    discard(prints, twice)
+    # in its first document a run may stand again
+    place = F.struct("twin", "pos")
+    again = met.where("own").groupBy("h", "size").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = met.where("own").join(again, ["h", "size"]).where(place != F.col("least"))
+    span = ["doc_id", "twin", "pos", "end"]
+    spans = met.where("NOT own").select(*span).unionByName(later.select(*span))
+    every = F.flatten(F.transform(F.collect_list(F.struct("pos", "end")), lambda x: F.sequence(x["pos"], x["end"])))
+    return spans.groupBy("doc_id", "twin").agg(F.array_sort(F.array_distinct(every)).alias("gone"))
+
+
+def without(parts: Column, gone: Column) -> Column:
+    """The parts between those at ascending positions, as one text; reads each part once."""
+
+    def between(j: Column) -> Column:
+        start = F.coalesce(F.get(gone, j - 1), F.lit(-1)) + 1
+        return F.slice(parts, start + 1, F.coalesce(F.get(gone, j), F.size(parts)) - start)
+
+    return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), between)), "")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, text without its later repeated runs, and
     n_lines, gone (the positions of the deleted lines; null where nothing was deleted) and left
-    (the share of its characters that a text keeps; 1 where nothing was deleted)."""
-    found = repeats(docs).select(F.col("doc_id").alias("_doc"), F.col("twin").alias("_twin"), F.col("gone").alias("_gone"))
+    (the share of its characters that a text keeps; 1 where nothing was deleted).
+
+    Input columns named n_lines, gone or left give way to these.
+    """
     own = [c for c in docs.columns if c != "text"]
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.hash("text") == F.col("_twin")), "left")
-    cut = joined.select(*own, "text", F.col("_gone").alias("gone"), lines(F.col("text")).alias("_lines"))
-    kept = F.array_join(F.filter("_lines", lambda s, i: ~F.array_contains(F.col("gone"), i)), "")
-    rebuilt = cut.select(*own, F.col("text").alias("_text"), F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), F.size("_lines").alias("_n"), "gone")
-    return rebuilt.select(
-        *own,
-        "text",
-        F.when(F.col("_text").isNotNull(), F.col("_n")).alias("n_lines"),
-        "gone",
-        F.when(F.col("gone").isNull(), F.lit(1.0)).otherwise(F.length("text") / F.length("_text")).alias("left"),
-    )
+    found = repeats(docs.select("doc_id", "text"))
+    told = docs.select(F.struct(*docs.columns).alias("d"))
+    same = F.col("d.doc_id").eqNullSafe(found["doc_id"]) & (F.xxhash64("d.text") == found["twin"])
+    # only texts that lose something are cut again
+    cut = told.join(found, same, "left").select("d", "gone", F.when(F.col("gone").isNotNull(), lines(F.col("d.text"))).alias("parts"))
+    kept = F.when(F.col("gone").isNotNull(), without(F.col("parts"), F.col("gone"))).otherwise(F.col("d.text"))
+    kept = cut.select("d", "gone", kept.alias("kept"))
+    added = {
+        "n_lines": count_lines(F.col("d.text")),
+        "gone": F.col("gone"),
+        "left": F.when(F.col("gone").isNull(), F.lit(1.0)).otherwise(F.length("kept") / F.length("d.text")),
+    }
+    return kept.select(*[F.col(f"d.`{c}`").alias(c) for c in own if c not in added], F.col("kept").alias("text"), *[x.alias(c) for c, x in added.items()])
