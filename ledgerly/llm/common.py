@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
@@ -18,11 +20,13 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only where the session names none (tests, one machine) a folder is made
-    and named; it goes away with the process.
+    Only where the session names none and runs on one machine (tests) a folder
+    is made and named; it goes away with the process.
     """
     base = spark.conf.get(_SETTING, None)
     if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="ledgerly-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         base = f"file://{own}"
@@ -56,24 +60,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bits of a map of hashes: 16 MB at most, whatever the input.
-MAP_BITS = 1 << 27
+_memory: dict = {}
 
 
-def hash_map(hashes: DataFrame, column: str) -> DataFrame:
-    """A map of bits of fixed size that holds every hash of a column: at most 4,096 rows of 4 KB."""
-    spot = F.pmod(F.col(column), F.lit(MAP_BITS)) + 1
-    return hashes.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits"))
+def remembered(make: Callable, *args):
+    """What an operator keeps in a worker process from task to task: ``make(*args)``.
 
+    Worker processes serve one operator after the other.  Only one memory is
+    kept: where another operator's was, it is given back to the system first.
+    """
+    key = (make, *args)
+    if key not in _memory:
+        if _memory:
+            _memory.clear()
+            release()
+        _memory[key] = make(*args)
+    return _memory[key]
+
+
+def release() -> None:
+    """Gives freed memory of this process back to the system, where it can."""
+    import ctypes
+    import gc
 
-def maybe_in(df: DataFrame, value: Column, bits: DataFrame) -> DataFrame:
-    """The rows whose hash a map holds, and some others: all the more, the fuller the map."""
-    spot = F.pmod(value, F.lit(MAP_BITS)) + 1
-    spotted = df.withColumns({"_bucket": F.bitmap_bucket_number(spot), "_bit": F.bitmap_bit_position(spot)})
-    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    power = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.col("_bit") % 8).cast("int") + 1)
-    # its size is bounded by MAP_BITS
-    return spotted.join(F.broadcast(bits), "_bucket").where(byte.bitwiseAND(power) != 0).select(*df.columns)
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps what it keeps
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -83,7 +100,8 @@ def components(edges: DataFrame) -> DataFrame:
     of its label, until nothing changes; each round is written, so the lineage
     stays short.  The number of rounds grows with the logarithm of the longest chain.
     """
-    both = stage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "edges")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))  # the edges are worked out once
+    both = stage(edges.where("a != b").select(F.inline(ways)).distinct(), "edges")
     labels = stage(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("l")).select("v", F.least("v", "l").alias("l")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("v")).groupBy("a").agg(F.min("l").alias("near"))

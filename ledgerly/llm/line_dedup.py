@@ -125,17 +125,24 @@ def repeats(docs: DataFrame) -> DataFrame:
 def without(parts: Column, gone: Column) -> Column:
     """The parts between those at ascending positions, as one text; reads each part once."""
 
-    def between(j: Column) -> Column:
-        start = F.coalesce(F.get(gone, j - 1), F.lit(-1)) + 1
-        return F.slice(parts, start + 1, F.coalesce(F.get(gone, j), F.size(parts)) - start)
+    def between(own: Column) -> Column:
+        """Inside the function both are values: no plan can cut the text again for each gap."""
+        parts, gone = own["parts"], own["gone"]
 
-    return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), between)), "")
+        def gap(j: Column) -> Column:
+            start = F.coalesce(F.get(gone, j - 1), F.lit(-1)) + 1
+            return F.slice(parts, start + 1, F.coalesce(F.get(gone, j), F.size(parts)) - start)
+
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), gap)), "")
+
+    return F.get(F.transform(F.array(F.struct(parts.alias("parts"), gone.alias("gone"))), between), 0)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, text without its later repeated runs, and
     n_lines, gone (the positions of the deleted lines; null where nothing was deleted) and left
     (the share of its characters that a text keeps; 1 where nothing was deleted).
+    Where all lines are gone, size(gone) is n_lines.
 
     Input columns named n_lines, gone or left give way to these.
     """

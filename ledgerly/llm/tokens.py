@@ -17,6 +17,8 @@ import re
 
 import numpy as np
 
+from .common import remembered
+
 #: Distinct words remembered in one worker process; beyond it memory starts anew.
 MAX_WORDS = 400_000
 
@@ -180,7 +182,6 @@ class WordEncoder:
         return ids, before[end] - before[end - counts]
 
 
-@functools.cache
 def encoder(path: str, blanks: bool) -> WordEncoder:
     """One encoder per worker process: tasks that follow find its words known."""
-    return WordEncoder(path, blanks)
+    return remembered(WordEncoder, path, blanks)

@@ -79,6 +79,43 @@ def test_large_cells_are_cut_into_blocks(spark, monkeypatch):
     assert {r["component_id"] for r in rows} == {0}
 
 
+def components_of(texts, words, percent):
+    """The smallest index reachable by links, by all pairs."""
+    w = [t.lower().split() for t in texts]
+    sets = [{tuple(x[i : i + words]) for i in range(len(x) - words + 1)} for x in w]
+    out = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= percent * len(a | b) and out[i] != out[j]:
+                low, high = sorted((out[i], out[j]))
+                out = [low if x == high else x for x in out]
+    return out
+
+
+@pytest.mark.parametrize(("block", "pivots", "shrunk"), [(10, 4, 0.6), (10, 2, 0.9), (16, 3, 0.0)])
+def test_regions_recur_exactly(spark, monkeypatch, block, pivots, shrunk):
+    """One large region of many components at the edge of the threshold: pivots, windows and blocks lose no link."""
+    monkeypatch.setattr(jaccard, "BLOCK_POINTS", block)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
+    monkeypatch.setattr(jaccard, "SHRUNK", shrunk)
+    rng = random.Random(block + pivots)
+    base = sentence(rng, 160).split()
+    texts = []
+    for _ in range(14):  # families that share most of the base, and are barely linked or not
+        family = list(base)
+        at = rng.randrange(40, 100)
+        family[at : at + 22] = sentence(rng, 22).split()
+        for _ in range(8):
+            own = list(family)
+            at, n = rng.randrange(110, 140), rng.randrange(0, 12)
+            own[at : at + n] = sentence(rng, n).split()
+            texts.append(" ".join(own))
+    rows = jaccard.groups(docs_of(spark, texts), words=4, percent=80).collect()
+    want = components_of(texts, 4, 80)
+    assert 1 < len(set(want)) < len(texts)
+    assert [r["component_id"] for r in sorted(rows, key=lambda r: r["doc_id"])] == want
+
+
 def distance(pattern, text):
     """Least edits of the pattern to any substring, by the whole matrix."""
     row = [0] * (len(text) + 1)
