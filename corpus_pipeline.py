@@ -29,7 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without later repeats of runs of lines; documents that are blank after the cut go."""
-    out = line_dedup.dedup(docs).where(F.col("gone").isNull() | (F.trim("text", F.lit(" \n")) != ""))
+    # a filter on the lines, not on the text: Spark would work out the text twice
+    out = line_dedup.dedup(docs).where(F.col("gone").isNull() | (F.size("gone") < F.col("n_lines")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
