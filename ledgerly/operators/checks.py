@@ -25,57 +25,75 @@ CHECKS = {
 }
 
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """Keys that stand more than once."""
-    return rows.groupBy("movement_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
-def gaps(history: DataFrame) -> DataFrame:
-    """Keys whose versions are not consecutive."""
-    spans = history.groupBy("movement_key").agg((F.max("version") - F.min("version") + 1).alias("span"), F.count(F.lit(1)).alias("n"))
-    return spans.where("span <> n")
-
-
 def undocumented(changes: DataFrame, fields: DataFrame) -> DataFrame:
     """Corrections without a field."""
     return changes.where("change_type = 'UPDATED'").join(fields, "change_id", "left_anti")
 
 
-def invariants(current: DataFrame, history: DataFrame, changes: DataFrame, fields: DataFrame) -> DataFrame:
-    """invariant and violations of all six, in one job."""
-    active = current.where("is_active").select("movement_key")
-    wrong = history.where("is_current").join(active, "movement_key", "left_semi").where("valid_to IS NOT NULL OR is_deleted")
+def measure(current: DataFrame, history: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """One row with what the checks ask of a state: each table is read and shuffled once, by key.
+
+    ``keys`` are those of a cut; without them nothing counts as missing or kept.
+    """
+    c = F.col
+    open_wrong = c("is_current") & (c("valid_to").isNotNull() | c("is_deleted"))
+    state = current.groupBy("movement_key").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("is_active").alias("active"),
+        F.sum("amount").alias("amount"),
+        F.sum(F.when(c("is_active"), c("amount"))).alias("active_amount"),
+    )
+    versions = history.groupBy("movement_key").agg(
+        (F.max("version") - F.min("version") + 1).alias("span"),
+        F.count(F.lit(1)).alias("versions"),
+        F.count_if("is_current").alias("open"),
+        F.count_if(open_wrong).alias("wrong"),
+    )
+    both = state.join(versions, "movement_key", "full")
+    both = both.join(keys.select("movement_key", F.lit(True).alias("cut")), "movement_key", "full") if keys is not None else both.withColumn("cut", F.lit(False))
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    return both.agg(
+        F.count_if(c("rows") > 1).alias("twice"),
+        F.count_if(c("open") > 1).alias("open_twice"),
+        F.count_if(c("span") != c("versions")).alias("gaps"),
+        total(F.when(c("versions").isNull(), c("rows"))).alias("uncovered"),
+        total(F.when(c("active") > 0, c("wrong"))).alias("wrong"),
+        total("active").alias("active"),
+        total("active_amount").alias("amount"),
+        F.count_if(c("cut") & (F.coalesce(c("active"), F.lit(0)) == 0)).alias("missing"),
+        total(F.when(c("cut"), c("amount"))).alias("kept_amount"),
+    )
+
+
+def invariants(current: DataFrame, history: DataFrame, changes: DataFrame, fields: DataFrame, measured: DataFrame | None = None) -> DataFrame:
+    """invariant and violations of all six; ``measured`` is the state's measure where it is known."""
+    one = measure(current, history) if measured is None else measured
+    one = one.crossJoin(undocumented(changes, fields).agg(F.count(F.lit(1)).alias("silent")))  # a row by a row
     found = {
-        "unique_current_row_per_key": repeated(current),
-        "single_current_version_per_key": repeated(history.where("is_current")),
-        "history_covers_current": current.join(history, "movement_key", "left_anti"),
-        "no_version_gaps": gaps(history),
-        "active_current_matches_open_version": wrong,
-        "changes_have_events": undocumented(changes, fields),
+        "unique_current_row_per_key": "twice",
+        "single_current_version_per_key": "open_twice",
+        "history_covers_current": "uncovered",
+        "no_version_gaps": "gaps",
+        "active_current_matches_open_version": "wrong",
+        "changes_have_events": "silent",
     }
-    return reduce(DataFrame.unionByName, [rows.agg(F.lit(name).alias("invariant"), F.count(F.lit(1)).alias("violations")) for name, rows in found.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("invariant"), F.col(v).cast("long").alias("violations")) for k, v in found.items()])))
 
 
-def reconcile(staged: DataFrame, rejected: DataFrame, diff: DataFrame, current: DataFrame, history: DataFrame, changes: DataFrame, fields: DataFrame, rows_read: int, active_before: int, amount_before: Decimal) -> DataFrame:
+def reconcile(staged: DataFrame, rejected: DataFrame, diff: DataFrame, current: DataFrame, history: DataFrame, changes: DataFrame, fields: DataFrame, rows_read: int, active_before: int, amount_before: Decimal, measured: DataFrame | None = None) -> DataFrame:
     """check_id, left_value, right_value, difference and passed of the twelve checks.
 
-    ``changes`` and ``fields`` are those of the run.  Each table is aggregated
-    once; one-row results are combined.
+    ``changes`` and ``fields`` are those of the run; ``measured`` is the state's
+    measure with the cut's keys where it is known.  One-row results are combined.
     """
     big = "decimal(38,4)"
-    keys = staged.select("movement_key")
     kinds = diff.agg(F.count(F.lit(1)).alias("keys"), *[F.count_if(F.col("change_type") == t).alias(t) for t in ("NEW", "UPDATED", "DELETED", "UNCHANGED", "REACTIVATED", "STILL_DELETED")])
     parts = [
         kinds,
         staged.agg(F.coalesce(F.sum("exact_duplicate_count"), F.lit(0)).alias("valid"), F.count(F.lit(1)).alias("distinct"), F.coalesce(F.sum("amount"), F.lit(0)).alias("staged_amount")),
         rejected.agg(F.count(F.lit(1)).alias("rejected")),
-        current.agg(F.count_if("is_active").alias("active"), F.coalesce(F.sum(F.when(F.col("is_active"), F.col("amount"))), F.lit(0)).alias("amount")),
+        measure(current, history, staged) if measured is None else measured,
         changes.agg(F.count(F.lit(1)).alias("events"), F.coalesce(F.sum("amount_delta"), F.lit(0)).alias("delta")),
-        keys.join(current.where("is_active"), "movement_key", "left_anti").agg(F.count(F.lit(1)).alias("missing")),
-        repeated(current).agg(F.count(F.lit(1)).alias("twice")),
-        repeated(history.where("is_current")).agg(F.count(F.lit(1)).alias("open_twice")),
-        gaps(history).agg(F.count(F.lit(1)).alias("gaps")),
-        current.join(keys, "movement_key", "left_semi").agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("kept_amount")),
         undocumented(changes, fields).agg(F.count(F.lit(1)).alias("silent")),
     ]
     one = reduce(lambda a, b: a.crossJoin(b), parts)  # a row by a row

@@ -15,7 +15,7 @@ from ..config import Settings
 from ..operators import anomalies, checks, diff, gold, guards, silver
 from ..schemas import ddl, names
 from ..sources import snapshots
-from ..sources.scratch import written
+from ..sources.scratch import folder, together, written
 from .store import Store
 
 log = logging.getLogger("ledgerly")
@@ -136,22 +136,28 @@ class Runner:
     def _apply(self, file: snapshots.SnapshotFile, run: dict, clock: float, key: list[str]) -> dict[str, int]:
         s, now, run_id = self.s, _now(), run["run_id"]
         cut = silver.Cut(run_id, file.snapshot_date, file.name, file.sha256)
-        normal = written(silver.normalise(snapshots.read(self.spark, file.path), s, cut.snapshot_date), "normal")
+        folder(self.spark, "run")  # names the shared folder before threads ask for it
+        # normalised twice, by the staged rows and by the rejected ones: cheaper than writing it, which is wider than the input
+        normal = silver.normalise(snapshots.read(self.spark, file.path), s, cut.snapshot_date)
         part = silver.from_normal(normal, s, cut, lambda df: written(df, "staged"))
-        audited = {t: [*self.audit.tables.get(t, []), self.audit.write(t, rows)] for t, rows in (("rejected_records", part.rejected), ("data_quality_flags", part.flags))}
+        current, live = self.gold.read("movements_current"), self.gold.read("movements_open")
+        amount = F.coalesce(F.sum("amount"), F.lit(0)).cast(s.contract.amount_type)
+        kept, flagged, staged, before, d = together(
+            lambda: self.audit.write("rejected_records", part.rejected),
+            lambda: self.audit.write("data_quality_flags", part.flags),
+            lambda: part.staged.agg(F.count(F.lit(1)).alias("valid"), F.coalesce(F.sum(F.col("exact_duplicate_count") - 1), F.lit(0)).alias("dupes"), amount.alias("amount")).first(),
+            lambda: gold.summary(current),
+            lambda: written(diff.classify(part.staged, current, s, cut.snapshot_date), "diff"),
+        )
+        audited = {t: [*self.audit.tables.get(t, []), new] for t, new in (("rejected_records", kept), ("data_quality_flags", flagged))}
         self.audit.publish(audited)
         rejected = self.audit.read("rejected_records", audited["rejected_records"][-1:])
-        amount = F.coalesce(F.sum("amount"), F.lit(0)).cast(s.contract.amount_type)
-        staged = part.staged.agg(F.count(F.lit(1)).alias("valid"), F.coalesce(F.sum(F.col("exact_duplicate_count") - 1), F.lit(0)).alias("dupes"), amount.alias("amount")).first()
         run |= {"rows_valid": staged["valid"], "rows_rejected": rejected.count(), "rows_exact_dupes": staged["dupes"]}
         verdict = guards.rejection(s, file.row_count, run["rows_rejected"])
         self.alert(run_id, verdict.alerts)
         if not verdict.passed:
             raise Failure("REJECTION_RATE_EXCEEDED", "; ".join(verdict.breaches), CRITICAL)
 
-        current, live = self.gold.read("movements_current"), self.gold.read("movements_open")
-        before = gold.summary(current)
-        d = written(diff.classify(part.staged, current, s, cut.snapshot_date), "diff")
         counts = diff.counts(d)
         last = self.runs().orderBy(F.desc("snapshot_date"), F.desc("started_at")).select("rows_valid").first()
         verdict = guards.evaluate(s, counts, staged["valid"], before["active_rows"], last["rows_valid"] if last else None, before["amount_total"], staged["amount"])
@@ -159,12 +165,25 @@ class Runner:
         if not verdict.passed:
             raise Failure("GUARD_BREACH", "; ".join(verdict.breaches), GUARDED)
 
-        changes_before = self.gold.read("movement_changes")
-        offset = changes_before.agg(F.coalesce(F.max("change_id"), F.lit(0))).first()[0]
-        numbered = written(gold.events(d, s, cut, now, offset), "events")
+        # events are numbered without a gap, so the runs tell how many there are
+        kinds = [F.coalesce(F.sum(f"rows_{t.lower()}"), F.lit(0)) for t in diff.EVENTS]
+        offset = sum(self.runs().agg(*kinds).first())
+
+        def log() -> list[str]:
+            numbered = written(gold.events(d, s, cut, now, offset), "events")
+            return together(
+                lambda: self.gold.write("movement_changes", gold.changes(numbered, s, cut, now)),
+                lambda: self.gold.write("movement_change_fields", gold.fields(numbered, s, cut)),
+            )
+
         # closed versions are only added to, unless a retention purges some of them
-        closed = [*self.gold.tables.get("movements_history", []), self.gold.write("movements_history", gold.closed(d, live, cut))]
-        opened = self.gold.write("movements_open", gold.still_open(d, live).unionByName(gold.opened(d, cut, now)))
+        ended, opened, state, (changed, fields) = together(
+            lambda: self.gold.write("movements_history", gold.closed(d, live, cut)),
+            lambda: self.gold.write("movements_open", gold.still_open(d, live).unionByName(gold.opened(d, cut, now))),
+            lambda: self.gold.write("movements_current", gold.current(d, cut, now)),
+            log,
+        )
+        closed = [*self.gold.tables.get("movements_history", []), ended]
         purged = 0
         if s.retention_days:
             every = self.gold.read("movements_history", closed).unionByName(self.gold.read("movements_open", [opened]))
@@ -172,37 +191,42 @@ class Runner:
             purged = gone.count()
             closed = [self.gold.write("movements_history", kept.where("NOT is_current"))] if purged else closed
         made = {
-            "movements_current": [self.gold.write("movements_current", gold.current(d, cut, now))],
+            "movements_current": [state],
             "movements_history": closed,
             "movements_open": [opened],
-            "movement_changes": [self.gold.write("movement_changes", gold.changes(numbered, s, cut, now))],
-            "movement_change_fields": [self.gold.write("movement_change_fields", gold.fields(numbered, s, cut))],
+            "movement_changes": [changed],
+            "movement_change_fields": [fields],
         }
         # what was written is verified, not what was planned
         new = {t: self.gold.read(t, folders) for t, folders in made.items()}
         new["movements_history"] = new["movements_history"].unionByName(new.pop("movements_open"))
-        broken = {r["invariant"]: r["violations"] for r in checks.invariants(new["movements_current"], new["movements_history"], new["movement_changes"], new["movement_change_fields"]).where("violations > 0").collect()}
+        checked = [new[t] for t in ("movements_current", "movements_history", "movement_changes", "movement_change_fields")]
+        measured = written(checks.measure(*checked[:2], part.staged), "measured")
+        broken, found = together(
+            lambda: {r["invariant"]: r["violations"] for r in checks.invariants(*checked, measured).where("violations > 0").collect()},
+            lambda: written(checks.reconcile(part.staged, rejected, d, *checked, file.row_count, before["active_rows"], Decimal(before["amount_total"]), measured), "reconciliation"),
+        )
+        after = measured.first()
         if broken:
             raise Failure("STRUCTURAL_VIOLATION", str(broken), INCONSISTENT)
-        found = written(checks.reconcile(part.staged, rejected, d, new["movements_current"], new["movements_history"], new["movement_changes"], new["movement_change_fields"], file.row_count, before["active_rows"], Decimal(before["amount_total"])), "reconciliation")
         failed = [r["check_id"] for r in found.where("NOT passed").collect()]  # twelve at most
         if failed:
             raise Failure("RECONCILIATION_FAILED", ", ".join(failed), INCONSISTENT)
 
-        after = gold.summary(new["movements_current"])
         run |= {f"rows_{t.lower()}": counts[t] for t in ("NEW", "UPDATED", "DELETED", "UNCHANGED", "REACTIVATED")}
         run |= {
-            "status": "SUCCESS", "finished_at": _now(), "duration_seconds": time.monotonic() - clock, "rows_current_before": before["active_rows"], "rows_current_after": after["active_rows"],
-            "amount_before": Decimal(before["amount_total"]), "amount_current": Decimal(after["amount_total"]), "rows_purged": purged, "exit_code": OK,
+            "status": "SUCCESS", "finished_at": _now(), "duration_seconds": time.monotonic() - clock, "rows_current_before": before["active_rows"], "rows_current_after": after["active"],
+            "amount_before": Decimal(before["amount_total"]), "amount_current": Decimal(after["amount"]), "rows_purged": purged, "exit_code": OK,
         }
         labels = self.spark.createDataFrame([(k, *v) for k, v in checks.CHECKS.items()], "check_id string, check_group string, check_name string, left_label string, right_label string")
         report = found.join(F.broadcast(labels), "check_id").withColumns({"run_id": F.lit(run_id), "snapshot_date": F.lit(cut.snapshot_date), "tolerance": F.lit(0).cast("decimal(38,4)")})
         registry = self.spark.createDataFrame([tuple(self._registry(file, "PROCESSED", run_id, "")[n] for n in names("file_registry"))], ddl("file_registry"))
         known = self.gold.read("file_registry").where(~((F.col("source_file_hash") == file.sha256) & (F.col("snapshot_date") == F.lit(file.snapshot_date))))
         run_row = self.spark.createDataFrame([tuple(run.get(n) for n in names("pipeline_runs"))], ddl("pipeline_runs", s.contract.amount_type))
-        made["file_registry"] = [self.gold.write("file_registry", known.unionByName(registry).coalesce(1))]
-        for t, rows in (("pipeline_runs", run_row), ("reconciliation_results", report)):
-            made[t] = [*self.gold.tables.get(t, []), self.gold.write(t, rows.coalesce(1))]
+        last_tables = (("file_registry", known.unionByName(registry)), ("pipeline_runs", run_row), ("reconciliation_results", report))
+        written_last = together(*[lambda t=t, rows=rows: self.gold.write(t, rows.coalesce(1)) for t, rows in last_tables])
+        for (t, _), new_folder in zip(last_tables, written_last):
+            made[t] = [new_folder] if t == "file_registry" else [*self.gold.tables.get(t, []), new_folder]
         for t in ("movement_changes", "movement_change_fields"):
             made[t] = [*self.gold.tables.get(t, []), *made[t]]
         self.gold.publish(made)

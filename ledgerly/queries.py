@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from .config import Settings
 from .functions import expressions
 from .operators import anomalies, checks, diff, explore, gold, guards, profile, silver, views
 from .schemas import ddl
-from .sources.scratch import written
+from .sources.scratch import folder, together, written
 
 S = Settings()
 NOW = datetime(2001, 8, 8)
@@ -42,19 +42,46 @@ def states(spark: SparkSession, sf_dir: str) -> dict[str, State]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _known:
         return _known[key]
+    folder(spark, "cuts")  # names the shared folder before threads ask for it
+
+    def stage(name: str) -> silver.Silver:
+        cut = testdata.cut(name)
+        normal = written(silver.normalise(testdata.snapshot(spark, sf_dir, name), S, cut.snapshot_date), f"normal-{name}")
+        return silver.from_normal(normal, S, cut, lambda staged: written(staged, f"staged-{name}"))
+
+    parts = dict(zip("abc", together(*[partial(stage, n) for n in "abc"])))
     current = spark.createDataFrame([], ddl("movements_current"))
-    history = spark.createDataFrame([], ddl("movements_history"))
-    out, offset = {}, 0
-    for i, name in enumerate(("a", "b", "c")):
+    diffs, currents = {}, {}
+    for i, name in enumerate("abc"):
+        diffs[name] = written(diff.classify(parts[name].staged, current, S, testdata.cut(name).snapshot_date), f"diff-{name}")
+        # the next state is a projection of the diff: nothing is written twice
+        current = currents[name] = gold.current(diffs[name], testdata.cut(name), NOW + timedelta(hours=i))
+
+    def histories() -> dict[str, DataFrame]:
+        """Closed versions are only added to; the open ones are written anew."""
+        closed, live, made = [], spark.createDataFrame([], ddl("movements_history")), {}
+        for i, name in enumerate("abc"):
+            cut, now, d = testdata.cut(name), NOW + timedelta(hours=i), diffs[name]
+            ended, live = together(
+                lambda live=live: written(gold.closed(d, live, cut), f"closed-{name}"),
+                lambda live=live: written(gold.still_open(d, live).unionByName(gold.opened(d, cut, now)), f"open-{name}"),
+            )
+            closed.append(ended)
+            made[name] = reduce(DataFrame.unionByName, closed, live)
+        return made
+
+    def events() -> dict[str, DataFrame]:
+        made, offset = {}, 0
+        for i, name in enumerate("abc"):
+            made[name] = written(gold.events(diffs[name], S, testdata.cut(name), NOW + timedelta(hours=i), offset), f"events-{name}")
+            offset += made[name].count()
+        return made
+
+    history, numbered = together(histories, events)
+    out = {}
+    for i, name in enumerate("abc"):
         cut, now = testdata.cut(name), NOW + timedelta(hours=i)
-        normal = written(silver.normalise(testdata.snapshot(spark, sf_dir, name), S, cut.snapshot_date), f"normal-{name}")
-        part = silver.from_normal(normal, S, cut, lambda staged: written(staged, f"staged-{name}"))
-        d = written(diff.classify(part.staged, current, S, cut.snapshot_date), f"diff-{name}")
-        numbered = written(gold.events(d, S, cut, now, offset), f"events-{name}")
-        offset += numbered.count()
-        current = written(gold.current(d, cut, now), f"current-{name}")
-        history = written(gold.history(d, history, cut, now), f"history-{name}")
-        out[name] = State(part, d, current, history, gold.changes(numbered, S, cut, now), gold.fields(numbered, S, cut))
+        out[name] = State(parts[name], diffs[name], currents[name], history[name], gold.changes(numbered[name], S, cut, now), gold.fields(numbered[name], S, cut))
     _known[key] = out
     return out
 
