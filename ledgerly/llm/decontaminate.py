@@ -10,8 +10,10 @@ the item to the best substring around it.
 The items are a query set of bounded blocks; a block goes to every task and
 each block is one pass over the documents, which are never shuffled.
 
-Null texts hold nothing; items shorter than ``MIN_CHARS`` characters (null and
-empty ones too) are too short to tell from chance and never match; equal items
+An item of fewer than ``MIN_CHARS`` characters has no budget: it matches where it
+stands word for word, between word borders.  ``shortest`` says how many characters an
+item must have at all; the registered query and the pipeline look for every item that
+holds a letter or digit (1).  Null texts hold nothing, null and empty items never match; equal items
 match alike under each item_id; equal documents give equal rows.
 """
 
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 #: Edits allowed for each character of an item, and the shortest piece; the budget shrinks for it.
 RATE, PIECE = 0.08, 12
+#: Characters below which an item has no budget, and the fewest that it must have unless ``shortest`` says otherwise.
 MIN_CHARS = 24
 #: Characters and items of a block of the query set.
 BLOCK_CHARS, BLOCK_ITEMS = 4_000_000, 20_000
@@ -83,17 +86,17 @@ class Myers:
 class Matcher:
     """All items of a block against one text after the other."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, shortest: int = MIN_CHARS):
         import ahocorasick
 
         self.auto, owners = ahocorasick.Automaton(), {}
         self.items: list[tuple[str, int, list[int]]] = []  # text, budget, item_ids
         same: dict[str, list[int]] = {}
         for i, text in items:
-            if len(text) >= MIN_CHARS:
+            if len(text) >= max(1, shortest):
                 same.setdefault(text, []).append(i)
         for text, ids in same.items():
-            k = budget(len(text), rate)
+            k = budget(len(text), rate) if len(text) >= MIN_CHARS else 0
             for at, p in pieces(text, k):
                 owners.setdefault(p, []).append((len(self.items), at))
             self.items.append((text, k, ids))
@@ -108,16 +111,22 @@ class Matcher:
         if not self.items or not text:
             return []
         windows: dict[int, list[list[int]]] = {}
+        whole: dict[int, tuple[int, int]] = {}
         for end, (size, own) in self.auto.iter(text):
             for n, at in own:
                 item, k, _ = self.items[n]
+                if len(item) < MIN_CHARS:
+                    first, after = end + 1 - size, end + 1
+                    if (not first or text[first - 1] == " ") and (after == len(text) or text[after] == " "):
+                        whole.setdefault(n, (first, after))
+                    continue
                 lo, hi = max(0, end + 1 - size - at - k), min(len(text), end + 1 - size - at + len(item) + k)
                 spans = windows.setdefault(n, [])
                 if spans and lo <= spans[-1][1] and lo >= spans[-1][0]:
                     spans[-1][1] = max(spans[-1][1], hi)
                 else:
                     spans.append([lo, hi])
-        out = []
+        out = [(i, 0, *span, 0) for n, span in whole.items() for i in self.items[n][2]]
         for n, spans in windows.items():
             item, k, ids = self.items[n]
             if n not in self.myers:
@@ -149,7 +158,7 @@ def blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, rate: float = RATE, shortest: int = MIN_CHARS) -> DataFrame:
     """doc_id, item_id, distance, start and end (in the normal form of the text) and budget of every hit."""
     doc, item = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {doc}, item_id {item}, distance int, start int, end int, budget int"
@@ -157,7 +166,7 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     for block in blocks(items):
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            m = Matcher(block, rate)
+            m = Matcher(block, rate, shortest)
             for b in batches:
                 rows = [(d, *hit) for d, t in zip(*(c.to_pylist() for c in b.columns), strict=True) for hit in m.find(normal(t))]
                 if rows:
@@ -168,14 +177,14 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, shortest: int = MIN_CHARS) -> DataFrame:
     """The documents, with all their columns, that hold no item."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at = docs.columns.index("text")
     for block in blocks(items):
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            m = Matcher(block, rate)
+            m = Matcher(block, rate, shortest)
             for b in batches:
                 yield b.filter(pa.array([not m.find(normal(t)) for t in b.column(at).to_pylist()], pa.bool_()))
 

@@ -41,7 +41,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item within its edit budget of a passage of a document."""
-    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 URL_RULES = [

@@ -157,6 +157,14 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.matches(docs, items.limit(0)).count() == 0
 
 
+def test_short_items_match_word_for_word(spark):
+    items = spark.createDataFrame([(1, "Tiger"), (2, "a b"), (3, "x"), (4, " -- "), (5, None), (6, "日本 語"), (7, "tiger")], "item_id long, text string")
+    docs = docs_of(spark, ["The tiger, a B!", "tigers and atiger ab", "x", "日本、語", None, "a-b tiger tiger"])
+    rows = {(r["doc_id"], r["item_id"], r["start"], r["end"], r["distance"]) for r in decontaminate.matches(docs, items, shortest=1).collect()}
+    assert rows == {(0, 1, 4, 9, 0), (0, 7, 4, 9, 0), (0, 2, 10, 13, 0), (2, 3, 0, 1, 0), (3, 6, 0, 4, 0), (5, 2, 0, 3, 0), (5, 1, 4, 9, 0), (5, 7, 4, 9, 0)}
+    assert [r["doc_id"] for r in decontaminate.clean(docs, items, shortest=1).orderBy("doc_id").collect()] == [1, 4]
+
+
 def toxic_docs(spark, n=240):
     rng = random.Random(4)
     texts = [sentence(rng) + (" you are a grobnak and a fleebor. " if i % 3 == 0 else " fine weather. ") + sentence(rng) for i in range(n)]
