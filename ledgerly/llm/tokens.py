@@ -5,8 +5,11 @@ text is cut where the pre-tokenizer cuts for certain, each distinct piece is
 resolved once per worker process, and texts are assembled from the pieces' ids
 with numpy.  Plain pieces (no character above U+017F) are split by the
 vocabulary's own published pattern and their words go to the library's model;
-any other piece goes through the library's full tokenizer.  The result equals
-encoding the text in one call (tests/llm/test_tokens.py holds it to that).
+any other piece goes through the library's full tokenizer, and so does a whole text
+that holds one of the vocabulary's added tokens (they get their own ids, as in a plain
+call of the library).  The result equals encoding the text in one call
+(tests/llm/test_tokens.py holds it to that); an encoder that doesn't pass that test on a
+few texts, as the file's patterns are others, is refused.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ _FULL = "\x00"
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
 _PLAIN = re.compile(r"[\x20-\x7e\n\xa1-\xac\xae-ſ]*")
 _PATTERN_BYTES = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
+#: Texts on which an encoder must agree with the library.
+_PROBES = ["It's a test, isn't it? 12345 abc123!!", " two  blanks\nand\n\nlines ", "Grüße à l'été, año ½ “x” 日本 語 ß", "UPPER lower don't 3rd...", "<|x|> [y] <z>"]
 _PATTERN_WORDS = re.compile(rf"[{_L}]+|'(?:[stmd]|re|ve|ll)|[{_N}]|[^\s{_L}{_N}]+")
 
 
@@ -46,9 +51,7 @@ def library_tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return tok
+    return Tokenizer.from_file(path)
 
 
 @functools.cache
@@ -119,7 +122,13 @@ class WordEncoder:
         for token, i in vocab.items():
             self.ends[i] = token.endswith(_WORD_END)
             self.letters[i] = len(token)
+        added = sorted({t.content.lower() for t in self.tok.get_added_tokens_decoder().values()})
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else None
         self._clear()
+        want = [e.ids for e in self.tok.encode_batch(_PROBES, add_special_tokens=False)]
+        ids, n = self.encode(_PROBES)
+        if [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] != want:
+            raise ValueError(f"{path} cuts words by other patterns than this encoder knows")
 
     def _clear(self) -> None:
         self.words, self.ids = _Numbers(), _Ragged()
@@ -155,6 +164,8 @@ class WordEncoder:
         return [head, *[x if x[0] == "\n" else " " + x for x in rest]]
 
     def _words(self, text: str) -> list[str]:
+        if self.added and self.added(text.lower()):
+            return [_FULL + text]
         if text.isascii() and text.replace("\n", "").isprintable() or _PLAIN.fullmatch(text):
             return self.split(text if self.blanks else text.lower())
         out: list[str] = []

@@ -28,6 +28,17 @@ def test_same_ids_as_the_library(name, blanks, texts):
     assert [list(x) for x in np.split(ids, np.cumsum(n)[:-1])] == plain(name, texts)
 
 
+@pytest.mark.parametrize(("name", "blanks"), KINDS)
+def test_added_tokens_get_their_own_ids(name, blanks):
+    """As in a plain call of the library on a tokenizer loaded anew."""
+    from tokenizers import Tokenizer
+
+    texts = ["a </s> <|endoftext|> b", "<|ENDOFTEXT|>", "x<|endoftext|>", "<|startoftext|> y", "no <|end of|> it"]
+    want = [e.ids for e in Tokenizer.from_file(tokenizer_path(name)).encode_batch(texts, add_special_tokens=False)]
+    ids, n = encoder(tokenizer_path(name), blanks).encode(texts)
+    assert [list(x) for x in np.split(ids, np.cumsum(n)[:-1])] == want
+
+
 def test_token_files(spark, odd, none):
     docs = odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     path = scratch(spark, "files")
