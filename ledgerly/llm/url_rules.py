@@ -4,8 +4,9 @@ Labelled URLs become sets of tokens (labels of the host and words in them,
 segments of the path, names in the query, the scheme).  Spark's FP-growth mines
 token combinations that go with the bad label; rules of enough support and
 confidence stay, all of them but those that a shorter rule of at least their
-confidence implies.  An inverted index from token to rule matches them: a rule fires when
-all of its tokens met.  Listed host and path rules come before mined ones.
+confidence implies.  An inverted index matches them: a rule is entered under its
+token that the fewest labelled URLs have, and fires when a URL with that token has all
+others too.  Listed host and path rules come before mined ones.
 
 SQL functions and the JVM's FP-growth only.  Null URLs and those without
 ``://`` have no host, path or tokens and are allowed; rows with the same
@@ -78,17 +79,18 @@ def tokens(url: Column) -> Column:
 
 
 def mine(pages: DataFrame, labels: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, max_train: int = MAX_TRAIN) -> DataFrame:
-    """rule (a number), tokens, confidence and pages of every rule; labels: page_id and bad (boolean)."""
+    """rule (a number), tokens, confidence, pages and anchor (its rarest token) of every rule; labels: page_id and bad (boolean)."""
     some = labels.where(F.col("page_id").isNotNull() & F.col("bad").isNotNull()).groupBy("page_id").agg(F.max("bad").alias("bad"))
     some = some.orderBy(F.xxhash64("page_id"), "page_id").limit(max_train)  # the documented bound of the sample
     known = pages.select("page_id", "url").join(some, "page_id").select(tokens(F.col("url")).alias("t"), "bad")
     known = stage(known.select(F.when(F.col("bad"), F.array_append("t", F.lit(_BAD))).otherwise(F.col("t")).alias("items")), "labelled")
     n = known.count()
-    schema = "rule int, tokens array<string>, confidence double, pages long"
+    schema = "rule int, tokens array<string>, confidence double, pages long, anchor string"
     if not n:
         return known.sparkSession.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, support / n), minConfidence=1.0).fit(known)
     sets = stage(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    every_token = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     bad = F.array_contains("items", _BAD)
     both = sets.where(bad & (F.size("items") > 1)).select(F.array_remove("items", _BAD).alias("tokens"), F.col("freq").alias("pages"))
     every = both.join(sets.where(~bad).select(F.col("items").alias("tokens"), "freq"), "tokens")
@@ -103,16 +105,20 @@ def mine(pages: DataFrame, labels: DataFrame, support: int = SUPPORT, confidence
         kept = kept.unionByName(level)
     kept = kept.where((F.col("confidence") >= confidence) & (F.col("confidence") > F.col("part")))
     number = F.row_number().over(Window.orderBy(F.size("tokens"), "tokens")) - 1  # only of rules that nothing shorter implies
-    return stage(kept.select(number.alias("rule"), "tokens", "confidence", "pages"), "kept")
+    kept = stage(kept.select(number.alias("rule"), "tokens", "confidence", "pages"), "kept")
+    single = every_token.join(kept.select("rule", F.explode("tokens").alias("token")), "token")
+    rarest = single.groupBy("rule").agg(F.min(F.struct("freq", "token"))["token"].alias("anchor"))
+    return stage(kept.join(rarest, "rule"), "anchored")
 
 
 def fired(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """page_id, url, and the most confident rule of all whose tokens a URL has."""
-    index = rules.select("rule", "confidence", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
-    rows = pages.select("page_id", "url").distinct().select("page_id", "url", F.explode(tokens(F.col("url"))).alias("token"))
+    index = rules.select("rule", "confidence", F.col("tokens").alias("needed"), F.col("anchor").alias("token"))
+    rows = pages.select("page_id", "url").distinct().withColumn("had", tokens(F.col("url")))
+    rows = rows.select("page_id", "url", "had", F.explode("had").alias("token"))
     # the rules are a written table: Spark broadcasts the index where it is small enough
-    met = rows.join(index, "token").groupBy("page_id", "url", "rule", "confidence", "size").agg(F.count(F.lit(1)).alias("n"))
-    return met.where(F.col("n") == F.col("size")).groupBy("page_id", "url").agg(F.max(F.struct("confidence", "rule")).alias("fired"))
+    met = rows.join(index, "token").where(F.size(F.array_except("needed", "had")) == 0)
+    return met.groupBy("page_id", "url").agg(F.max(F.struct("confidence", "rule")).alias("fired"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule]) -> DataFrame:
