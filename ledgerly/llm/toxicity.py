@@ -1,15 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Three transducers in a row.  The first reads letters and writes words with a
-class and a weight: learned abuse (whole words and word beginnings that
-labelled toxic documents hold far more often than others), target, negation,
-report, quotation mark or clause end.  The second runs over the classes and
-writes for each clause its reading: abuse in it may be plain, aimed (a target
-stands in the clause), a threat (a target and a menacing word), negated (a
-negation stands before it) or reported (a reporting word or an open quotation
-stands before it).  The third adds the weights of a document's clauses by
-reading, and a logistic map of those sums, fitted to labels, gives the score.
-So what a reading is worth - a denied insult, say - is learned as well.
+A first transducer reads letters and writes words with a class and a weight:
+learned abuse (whole words and word beginnings that labelled toxic documents
+hold far more often than others), target, menace, negation, report, quotation
+mark or clause end.  Five small machines run over the classes: INSULT notes
+abuse, TARGET whom it is aimed at, MENACE a threat, NEGATION whether all abuse of a
+clause is denied, REPORT reporting words and quotations, which may span clauses.
+``compose`` makes one transducer of them whose states are tuples of theirs; at
+the end of a clause it writes the clause's reading (plain, aimed, threat,
+negated or reported) with the weight of its strongest abuse.
+
+A last machine adds the weights of a document's clauses, nested by reading:
+those of all, of all that are meant, of the aimed among them, of the threats among
+those.  A logistic map with no negative weight, fitted to labels, gives the score.
+So a threat never counts less than an aimed insult, that never less than a plain
+one, and a denied or reported one never more; how much is learned.
 
 Only labels of the training rows and texts are read; ``labels``, language,
 source and doc_id are no inputs of a score.  At most ``max_train`` labelled
@@ -50,8 +55,46 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:\n]|[\"“”«»]")
 # classes of words
 OTHER, END, QUOTE, AIM, NOT, SAID, THREAT, ABUSE = range(8)
 READINGS = ("plain", "aimed", "threat", "negated", "reported")
+#: Sums over clauses, each a part of the one before: which readings count.
+NESTED = {"all": READINGS, "meant": ("plain", "aimed", "threat"), "at_someone": ("aimed", "threat"), "threatened": ("threat",)}
 #: What the logistic map reads.
-INPUTS = ("one", "largest", *READINGS, "clauses", "share")
+INPUTS = ("one", "largest", *NESTED, "clauses", "share")
+#: Arcs (state, class) -> state of the five machines; any other class leaves a state.
+INSULT = {("", ABUSE): "insult", ("insult", END): ""}
+TARGETED = {("", AIM): "aimed", ("aimed", END): ""}
+MENACED = {("", THREAT): "menace", ("menace", END): ""}
+NEGATED = {("", NOT): "not", ("", ABUSE): "meant", ("not", ABUSE): "denied", ("not", END): "", ("meant", END): "", ("denied", END): ""}
+REPORTED = {("", SAID): "said", ("", QUOTE): "quoted", ("said", QUOTE): "quoted", ("quoted", QUOTE): "said", ("said", END): ""}
+
+
+def reading(insult: str, target: str, menace: str, negation: str, report: str) -> int | None:
+    """What a clause that ends in these states is read as."""
+    if not insult:
+        return None
+    if report:
+        return 4
+    if negation == "denied":
+        return 3
+    return (2 if menace else 1) if target else 0
+
+
+def compose(*machines: dict[tuple[str, int], str]) -> tuple[list[list[int]], list[int | None]]:
+    """One transducer of several that read the same classes: next state by state and class, and the reading a clause end writes in a state.
+    Only states that can be reached are made; all machines start in ""."""
+    number = {("",) * len(machines): 0}
+    steps: list[list[int]] = []
+    for state in (order := list(number)):  # grows while it is read
+        steps.append([])
+        for kind in range(8):
+            after = tuple(m.get((s, kind), s) for m, s in zip(machines, state))
+            if after not in number:
+                number[after] = len(number)
+                order.append(after)
+            steps[-1].append(number[after])
+    return steps, [reading(*s) for s in order]
+
+
+STEPS, WRITES = compose(INSULT, TARGETED, MENACED, NEGATED, REPORTED)
 
 
 @dataclass
@@ -88,44 +131,32 @@ class _Classes(dict):
 
 
 def clauses(classes: list[tuple[int, float]]) -> Iterator[tuple[int, float]]:
-    """The second transducer: the reading and the weight of every clause that holds abuse."""
-    aimed = negated = reported = menace = quoted = False
-    weight, denied = 0.0, False
+    """The composed transducer: the reading and the weight of every clause that holds abuse."""
+    state, weight = 0, 0.0
     for kind, w in [*classes, (END, 0.0)]:
         if kind == OTHER:
             continue
-        if kind == ABUSE:
-            denied = negated if not weight else denied and negated
-            weight = max(weight, w)
-        elif kind == AIM:
-            aimed = True
-        elif kind == NOT:
-            negated = True
-        elif kind == SAID:
-            reported = True
-        elif kind == THREAT:
-            menace = True
-        elif kind == QUOTE:
-            quoted = not quoted
-            reported = reported or quoted
-        else:
+        if kind == END:
             if weight:
-                yield (4 if reported else 3 if denied else 2 if aimed and menace else 1 if aimed else 0), weight
-            aimed = negated = menace = denied = False
-            reported, weight = quoted, 0.0
+                yield WRITES[state], weight
+            weight = 0.0
+        elif w > weight:
+            weight = w
+        state = STEPS[state][kind]
 
 
 def inputs(text: str | None, known: _Classes) -> list[float]:
-    """The third transducer's sums."""
+    """The last machine's sums."""
     classes = list(map(known.__getitem__, _TOKEN.findall((text or "").lower())))
-    sums, largest, n = [0.0] * len(READINGS), 0.0, 0
+    by, largest, n = [0.0] * len(READINGS), 0.0, 0
     if any(c[0] == ABUSE for c in classes):
-        for reading, w in clauses(classes):
-            sums[reading] += w
-            largest = max(largest, w)
-            n += 1
-    total = sum(sums)
-    return [1.0, largest, *map(math.log1p, sums), math.log1p(n), total / math.sqrt(len(classes) + 20.0)]
+        for r, w in clauses(classes):
+            by[r] += w
+            n += r < 3
+            if r < 3:
+                largest = max(largest, w)
+    sums = [sum(by[READINGS.index(r)] for r in own) for own in NESTED.values()]
+    return [1.0, largest, *map(math.log1p, sums), math.log1p(n), sums[1] / math.sqrt(len(classes) + 20.0)]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -162,16 +193,23 @@ def _weights(counts: dict[str, tuple[float, float]], toxic: float, clean: float)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    b = np.zeros(x.shape[1])
-    keep = np.full(len(b), ridge)
-    keep[0] = 1e-3
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (y - p) - keep * b)
-        b += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-6:
-            break
-    return b
+    """Weights of a logistic map, none below 0 but the first; inputs that would need that are left out one by one."""
+    use = list(range(x.shape[1]))
+    while True:
+        own, b = x[:, use], np.zeros(len(use))
+        keep = np.full(len(b), ridge)
+        keep[0] = 1e-3
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(own @ b, -30, 30)))
+            step = np.linalg.solve((own * (p * (1 - p))[:, None]).T @ own + np.diag(keep), own.T @ (y - p) - keep * b)
+            b += np.clip(step, -5, 5)
+            if np.abs(step).max() < 1e-6:
+                break
+        if (b[1:] >= 0).all():
+            out = np.zeros(x.shape[1])
+            out[use] = b
+            return out
+        use.pop(1 + int(np.argmin(b[1:])))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:

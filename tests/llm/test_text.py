@@ -189,6 +189,46 @@ def test_readings():
     assert read('" fool . fool " fool') == [("reported", 2.0), ("reported", 2.0)]
 
 
+def by_flags(classes):
+    """The readings by plain flags, clause by clause."""
+    out, quoted, clause = [], False, []
+    for kind, w in [*classes, (toxicity.END, 0.0)]:
+        if kind != toxicity.END:
+            clause.append((kind, w))
+            continue
+        reported = quoted or any(k in (toxicity.SAID, toxicity.QUOTE) for k, _ in clause)
+        kinds = [k for k, _ in clause]
+        if toxicity.ABUSE in kinds:
+            denied = toxicity.NOT in kinds[: kinds.index(toxicity.ABUSE)]
+            aimed = toxicity.AIM in kinds
+            name = "reported" if reported else "negated" if denied else ("threat" if toxicity.THREAT in kinds else "aimed") if aimed else "plain"
+            out.append((name, max(w for k, w in clause if k == toxicity.ABUSE)))
+        quoted ^= kinds.count(toxicity.QUOTE) % 2 == 1
+        clause = []
+    return out
+
+
+@given(st.lists(st.tuples(st.integers(0, 7), st.floats(0.8, 9.0))))
+@settings(max_examples=500, deadline=None)
+def test_composed_transducer_against_flags(classes):
+    classes = [(k, w if k == toxicity.ABUSE else 0.0) for k, w in classes]
+    assert [(toxicity.READINGS[r], w) for r, w in toxicity.clauses(classes)] == by_flags(classes)
+
+
+def test_readings_are_ordered(spark):
+    """A threat scores at least as an aimed insult, that as a plain one, and denied or reported ones below."""
+    rng = random.Random(10)
+    frame = ["it is a {} here today.", "you are a {} here today.", "you {} i will kill you.", "this is not a {} here.", 'he said "{}" again.']  # equally long
+    rows = [(k % 5, k % 2, " ".join([sentence(rng, 12), frame[k % 5].format("grobnak" if k % 2 else "flower"), sentence(rng, 12)])) for k in range(1000)]
+    docs = docs_of(spark, [t for _, _, t in rows])
+    labels = spark.createDataFrame([(i, 1, int(bad and form < 3)) for i, (form, bad, _) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert "grobnak" in model.abuse and all(w >= 0 for w in model.map[1:])
+    probes = docs_of(spark, ["one two three. " + f.format("grobnak") for f in frame])
+    plain, aimed, threat, denied, told = [r["toxicity"] for r in toxicity.score(probes, model).orderBy("doc_id").collect()]
+    assert threat >= aimed >= plain >= 0.5 > max(denied, told)
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     rng = random.Random(5)
