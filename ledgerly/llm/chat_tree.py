@@ -5,7 +5,8 @@ inside roles and texts are broken after their first character by ``\\.`` and
 backslashes are doubled, so a text never holds a control string and is read
 back exactly.  Conversations that begin with the same turns share the nodes of
 those turns: a node stands for a turn and all turns before it, and is named by
-a hash of them.  All nodes form one stream in depth-first order, each once.
+a hash of them: two 64-bit hashes of each turn and its place, joined over all
+turns up to it.  All nodes form one stream in depth-first order, each once.
 
 Distinct conversations, sorted by their paths of node names, are the leaves in
 depth-first order.  A leaf emits the nodes that no leaf before it holds; they
@@ -13,7 +14,8 @@ are the end of its path, so they lie together in the stream as the leaf's run.
 A node carries its place in the stream and the position id of its first
 character (as if its conversation stood alone); a run carries the stream
 intervals it attends to, one for each run its path crosses, its own last and
-causal.  Characters are code points.  Nothing grows with the square of a
+causal.  Characters are code points; ``tokens`` gives the same tree in ids of a
+public tokenizer, with position ids.  Nothing grows with the square of a
 conversation's length, and no tree ever meets in one task: leaves and nodes are
 laid out by range-partitioned sorts and running sums.  A conversation itself
 must fit into one row.
@@ -26,6 +28,9 @@ empty tree.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,14 +70,15 @@ def read_turn(segment: Column) -> tuple[Column, Column]:
 
 def _paths(turns: DataFrame) -> DataFrame:
     """conv_id, segments and path (the name of the node of each turn)."""
-    row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    convs = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("t"))
-    convs = convs.select("conv_id", F.transform("t", lambda t: write_turn(t["role"], t["text"])).alias("segments"))
-
-    def name(path: Column, segment: Column) -> Column:
-        return F.array_append(path, F.substring(F.sha2(F.concat(F.coalesce(F.get(path, F.size(path) - 1), F.lit("")), segment), 256), 1, 32))
-
-    return convs.withColumn("path", F.aggregate("segments", F.array().cast("array<string>"), name))
+    told = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    placed = told.select("conv_id", F.row_number().over(order).alias("at"), write_turn(F.col("role"), F.col("text")).alias("segment"))
+    so_far = Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    # a running sum of bits, so that no turn copies the names before it
+    name = F.concat(*[F.lpad(F.hex(F.bit_xor(F.xxhash64("segment", "at", F.lit(k))).over(so_far)), 16, "0") for k in (1, 2)])
+    rows = placed.select("conv_id", "at", "segment", name.alias("node"))
+    convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("at", "node", "segment"))).alias("t"))
+    return convs.select("conv_id", F.col("t.segment").alias("segments"), F.col("t.node").alias("path"))
 
 
 def _numbered(ordered: DataFrame, value: Column) -> DataFrame:
@@ -146,3 +152,61 @@ def read_back(tree: DataFrame, runs: DataFrame, members: DataFrame) -> DataFrame
     seen = spans.join(told, "run").where((start >= F.col("start")) & (start < F.col("end")))
     turns = stage(seen.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("stream_start", "segment", "loss"))).alias("turns")), "turns", compression="zstd")
     return members.join(turns, "leaf").select("conv_id", "turns")
+
+
+def tokens(tree: DataFrame, runs: DataFrame, tokenizer: str, blanks: bool) -> tuple[DataFrame, DataFrame]:
+    """Nodes and runs in ids of an installed public tokenizer.
+
+    Nodes: node, run, depth, ids, stream_start, position_ids (those a conversation
+    alone would have), loss_start and loss_end (the stream interval of a taught
+    text; else null).  Runs: run, leaf, attends (array of run, start, end).  A
+    turn's head, text and end are encoded apart, so the loss mask never cuts an id.
+    """
+    role, text = read_turn(F.col("segment"))
+    head = F.substring("segment", F.lit(1), F.locate(SEP, F.col("segment")) + len(SEP) - 1)
+    body = F.substring("segment", F.length(head) + 1, F.length("segment") - F.length(head) - len(END))
+    rows = tree.select("node", "run", "depth", (F.col("stream_start") + F.col("length")).alias("end"), head.alias("head"), body.alias("body"), (role == TAUGHT).alias("taught"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        from .tokens import encoder, tokenizer_path
+
+        enc = encoder(tokenizer_path(tokenizer), blanks)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                b = whole.slice(at, 1_000)
+                parts = [x for h, t in zip(b.column(4).to_pylist(), b.column(5).to_pylist()) for x in (h, t, END)]
+                ids, n = enc.encode(parts)
+                n = n.reshape(-1, 3)
+                ends = np.concatenate([[0], np.cumsum(n.sum(1))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+                sizes = [pa.array(x, pa.int64()) for x in (n.sum(1), n[:, 0], n[:, 1])]
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], b.column(6), lists, *sizes], ["node", "run", "depth", "end", "taught", "ids", "n", "n_head", "n_text"])
+
+    made = rows.mapInArrow(run, "node string, run long, depth int, end long, taught boolean, ids array<int>, n long, n_head long, n_text long")
+    made = stage(made.repartitionByRange("run", "depth").sortWithinPartitions("run", "depth"), "ids", compression="zstd")
+    made = stage(_numbered(made, F.col("n")), "numbered", compression="zstd")
+    # intervals are beginnings of runs and end where a node does
+    last = made.select("run", "end", (F.col("before") + F.col("n")).alias("to"))
+    first = made.groupBy("run").agg(F.min("before").alias("from"))
+    ends = stage(last.join(first, "run"), "ends")
+    crossed = runs.select(F.col("run").alias("of"), "leaf", F.inline("attends")).join(ends, ["run", "end"])
+    spans = crossed.groupBy("of", "leaf").agg(F.sort_array(F.collect_list(F.struct(F.col("from").alias("start"), F.col("to").alias("end"), "run"))).alias("attends"))
+    spans = stage(spans.withColumnRenamed("of", "run"), "attends")
+    # a run's first position: the ids of all that it attends to but itself
+    sizes = F.transform(F.filter("attends", lambda x: x["run"] != F.col("run")), lambda x: x["end"] - x["start"])
+    bases = spans.select("run", F.aggregate(sizes, F.lit(0).cast("long"), lambda n, x: n + x).alias("base"))
+    start = F.col("before")
+    rows = made.join(first, "run").join(bases, "run")
+    at = F.col("base") + start - F.col("from")
+    return rows.select(
+        "node",
+        "run",
+        "depth",
+        "ids",
+        start.alias("stream_start"),
+        F.when(F.col("n") > 0, F.sequence(at, at + F.col("n") - 1)).otherwise(F.array().cast("array<bigint>")).alias("position_ids"),
+        F.when(F.col("taught"), start + F.col("n_head")).alias("loss_start"),
+        F.when(F.col("taught"), start + F.col("n_head") + F.col("n_text")).alias("loss_end"),
+    ), spans

@@ -54,6 +54,40 @@ def test_chat_tree(spark):
     assert chat_tree.read_back(*empty).count() == 0
 
 
+def test_chat_tree_in_token_ids(spark):
+    """Every conversation read off the stream by its run's intervals: the ids, positions and mask it has alone."""
+    from ledgerly.llm.tokens import library_tokenizer, tokenizer_path
+
+    rng = random.Random(11)
+    turns = [(1, i, "user" if i % 2 else "assistant", f"Hello there {i}") for i in range(5)]
+    for c in range(2, 30):  # every conversation goes some turns along with an earlier one
+        of = rng.randrange(1, c)
+        shared = [t for t in turns if t[0] == of][: rng.randrange(6)]
+        own = [(c, len(shared) + i, rng.choice(["user", "assistant"]), f"own {c} {i}" * rng.randrange(3)) for i in range(rng.randrange(4))]
+        turns += [(c, *t[1:]) for t in shared] + own
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    tree, runs, members = chat_tree.build(df)
+    nodes, spans = chat_tree.tokens(tree, runs, "byte_bpe_50k.json", blanks=True)
+    tok = library_tokenizer(tokenizer_path("byte_bpe_50k.json"))
+    stream, positions, taught = {}, {}, set()
+    for r in nodes.collect():
+        for k, (i, p) in enumerate(zip(r["ids"], r["position_ids"], strict=True)):
+            assert r["stream_start"] + k not in stream
+            stream[r["stream_start"] + k], positions[r["stream_start"] + k] = i, p
+        taught |= set(range(r["loss_start"], r["loss_end"])) if r["loss_start"] is not None else set()
+    assert sorted(stream) == list(range(len(stream)))
+    attends = {r["leaf"]: r["attends"] for r in spans.collect()}
+    for m in members.collect():
+        at = [k for x in attends[m["leaf"]] for k in range(x["start"], x["end"])]
+        want, mask = [], []
+        for _, _, role, text in [t for t in turns if t[0] == m["conv_id"]]:
+            for part, loss in ((f"<|im_start|>{role}<|im_sep|>", False), (text, role == "assistant"), ("<|im_end|>", False)):
+                ids = tok.encode(part, add_special_tokens=False).ids
+                want += ids
+                mask += [loss] * len(ids)
+        assert [stream[k] for k in at] == want and [positions[k] for k in at] == list(range(len(want))) and [k in taught for k in at] == mask
+
+
 def test_url_parts_and_rules(spark):
     urls = ["http://A.Example.COM/en/7x?q", "https://example.net/de/81", "//x/y", None, "", "ftp://host", "http://h?x/#/en", "x://b.org/es/#", "a://b://c/d", "http://notcom/en/"]
     pages = spark.createDataFrame([(i, u, "<p>") for i, u in enumerate([*urls, urls[0]])], "page_id long, url string, rule string")
