@@ -175,6 +175,28 @@ def test_forest_recall_when_trees_split(spark, monkeypatch):
     assert 0.9 * true <= found <= true
 
 
+def test_large_leaves_are_cut_level_by_level(spark, monkeypatch):
+    """With a sample too small to split anything, all cuts are made on all points; links stay."""
+    monkeypatch.setattr(embedding_forest, "SAMPLE", 10)
+    monkeypatch.setattr(embedding_forest, "BLOCK", 150)
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((400, 32))
+    x = np.concatenate([base, base + 0.1 * rng.standard_normal(base.shape), base[:1] + 0.05 * rng.standard_normal((200, 32))])
+    df = spark.createDataFrame([(i, e.tolist(), 0) for i, e in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    _, distinct = embedding_forest.points(df)
+    known = embedding_forest.stage(distinct, "vectors")
+    forest = embedding_forest.fit(known)
+    assert all(t is None for t in forest["0|32"])
+    placed = embedding_forest.cut_large(known, embedding_forest.stage(embedding_forest.route(known, forest), "leaves"))
+    sizes = [r["count"] for r in placed.groupBy("leaf").count().collect()]
+    assert len(sizes) > 8 * 4 and placed.select("point").distinct().count() == 1000
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (u @ u.T >= 0.93).sum(1) - 1
+    found = {r["vec_id"]: r["n_links"] for r in embedding_forest.near_duplicates(df).collect()}
+    found = np.array([found[i] for i in range(len(x))])
+    assert (found <= true).all() and found.sum() >= 0.9 * true.sum() and found[:800].sum() >= 0.9 * true[:800].sum()
+
+
 def test_every_query_is_registered():
     import __spark_entry__ as entry
 
