@@ -50,6 +50,8 @@ from .common import components, discard, remembered, stage
 BLOCK_POINTS, BLOCK_SHINGLES = 1_024, 500_000
 #: Pivots of a large region, and the share of its points that a part may have to be cut again.
 PIVOTS, SHRUNK = 8, 0.6
+#: Document ids that are broadcast at most (tens of MB in memory).
+BROADCAST_ROWS = 1_000_000
 #: Distinct words a worker remembers the hash of.
 MAX_WORDS = 250_000
 
@@ -285,8 +287,10 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     enough = counted.join(firsts, "class").where(F.col("c") >= _needed(F.col("n"), percent) * F.col("copies"))
     candidates = stage(enough.select("class", "first"), "candidates")
     discard(read, shared)
-    # their whole sets: the texts are read again, of few documents
-    again = docs.select("doc_id", "text").join(candidates.select("first").distinct(), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    # their whole sets: the texts are read again, of few documents; texts move only where ids of a checked size don't do
+    some = stage(candidates.select("first").distinct(), "some")
+    some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
+    again = docs.select("doc_id", "text").join(some, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
     whole = _read(again, words, percent, whole=True).where("n > 0")
     points = stage(whole.groupBy("class", "n").agg(F.first("x").alias("x")), "points", compression="zstd")
     found = components(_links(points, percent))
