@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +50,13 @@ def write_csv(r: Runner, folder: str) -> list[str]:
 
 
 def _markdown(title: str, df: DataFrame, limit: int = 50) -> str:
-    rows = df.limit(limit).collect()
-    head = f"## {title}\n\n| {' | '.join(df.columns)} |\n|{'---|' * len(df.columns)}\n"
+    return markdown(title, df.columns, df.limit(limit).collect())
+
+
+def markdown(title: str, columns: Iterable[str], rows: Iterable[Sequence]) -> str:
+    """A section with one table."""
+    names = list(columns)
+    head = f"## {title}\n\n| {' | '.join(names)} |\n|{'---|' * len(names)}\n"
     return head + "".join(f"| {' | '.join('' if v is None else str(v) for v in row)} |\n" for row in rows) + "\n"
 
 

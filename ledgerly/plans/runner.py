@@ -16,6 +16,7 @@ from ..operators import anomalies, checks, diff, gold, guards, silver
 from ..schemas import ddl, names
 from ..sources import snapshots
 from ..sources.scratch import folder, together, written
+from . import logs
 from .store import Store
 
 log = logging.getLogger("ledgerly")
@@ -113,7 +114,13 @@ class Runner:
             self.audit.upsert("file_registry", self._registry(file, "REJECTED", None, why), key)
             self.alert(None, [guards.Alert("FILE_OUT_OF_ORDER" if "older" in why else "FILE_REJECTED", "CRITICAL", why, 0, 0)])
             return Result(None, file.name, file.snapshot_date, "REJECTED", exit_code=CRITICAL, reason=why)
-        run_id, began, clock = self._run_id(file), _now(), time.monotonic()
+        run_id = self._run_id(file)
+        with logs.within(run_id):
+            return self._run(run_id, file, why, key)
+
+    def _run(self, run_id: str, file: snapshots.SnapshotFile, why: str, key: list[str]) -> Result:
+        began, clock = _now(), time.monotonic()
+        log.info("cut %s of %s: %s rows, %s", file.snapshot_date, file.name, file.row_count, why, extra={"event": "run_started"})
         run = {
             "run_id": run_id, "snapshot_date": file.snapshot_date, "status": "RUNNING", "input_file": file.name, "source_file_hash": file.sha256,
             "contract_version": self.s.contract.version, "contract_hash": self.s.contract.digest, "started_at": began, "rows_read": file.row_count,
@@ -124,10 +131,11 @@ class Runner:
             if problems:
                 raise Failure("INVALID_SCHEMA", "; ".join(problems), CRITICAL)
             counts = self._apply(file, run, clock, key)
+            log.info("applied: %s", counts, extra={"event": "run_applied"})
             return Result(run_id, file.name, file.snapshot_date, "SUCCESS", counts, reason=why)
         except Exception as e:
             code, exit_code = (e.code, e.exit_code) if isinstance(e, Failure) else ("UNEXPECTED_ERROR", CRITICAL)
-            log.error("run %s failed: %s: %s", run_id, code, e)
+            log.error("run %s failed: %s: %s", run_id, code, e, extra={"event": "run_failed", "error_code": code})
             run |= {"status": "FAILED", "finished_at": _now(), "duration_seconds": time.monotonic() - clock, "exit_code": exit_code, "error_code": code, "error_message": str(e)[:2000]}
             self.audit.upsert("pipeline_runs", run, ["run_id"])
             self.alert(run_id, [guards.Alert(code, "CRITICAL", str(e)[:500], 0, 0)])

@@ -10,6 +10,7 @@ never published does not exist.
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from ..schemas import TABLES, ddl, names
 
 
+log = logging.getLogger("ledgerly.store")
+
+
 class StoreError(Exception):
     """The store is absent, invalid, or was changed by another writer."""
 
@@ -46,7 +50,13 @@ class Store:
             stream.close()
 
     def _latest(self) -> tuple[int, dict[str, list[str]]]:
-        found = self.fs.globStatus(self._at(f"{self.path}/{self.ledger}-*.json")) or []
+        found = list(self.fs.globStatus(self._at(f"{self.path}/{self.ledger}-*.json")) or [])
+        if not self.read_only:
+            # an interrupted copy may leave a manifest without content, in which nothing can be lost
+            for empty in [s for s in found if not s.getLen()]:
+                log.warning("removed %s: it is empty", empty.getPath().getName())
+                self.fs.delete(empty.getPath(), False)
+            found = [s for s in found if s.getLen()]
         versions = sorted(int(s.getPath().getName()[len(self.ledger) + 1 : -5]) for s in found)
         if not versions:
             return 0, {}

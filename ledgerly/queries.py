@@ -708,6 +708,77 @@ def exp_deleted_with_amount(spark, sf):
 
 
 
+_LATEST = "(SELECT CAST(coalesce(sum(rows_new), 0) AS BIGINT) AS rows_new, CAST(coalesce(sum(rows_updated), 0) AS BIGINT) AS rows_updated, CAST(coalesce(sum(rows_deleted), 0) AS BIGINT) AS rows_deleted, CAST(coalesce(sum(rows_rejected), 0) AS BIGINT) AS rows_rejected, count(*) AS cuts FROM runs)"
+
+
+@_query(_with(f"SELECT * FROM (SELECT {_SUMS}{_NET} FROM act), {_LATEST}"))
+def exp_overview(spark, sf):
+    return explore.overview(states(spark, sf)["c"].current, runs(spark, sf))
+
+
+@_query(_with("SELECT CAST(sum(rows_read) AS BIGINT) AS rows_read, CAST(sum(rows_valid) AS BIGINT) AS rows_valid, CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected, round(avg(rows_rejected / CAST(rows_read AS DOUBLE)), 9) AS mean_rejection_rate FROM runs"))
+def exp_quality_totals(spark, sf):
+    rate = F.round("mean_rejection_rate", 9)
+    return explore.quality_totals(runs(spark, sf)).withColumn("mean_rejection_rate", rate)
+
+
+@_query(_with(f"SELECT error_code, 'RECORD_ERROR' AS error_severity, count(*) AS rows FROM ({_REJECTED}) GROUP BY ALL"))
+def exp_rejections(spark, sf):
+    return explore.rejections(_all(spark, sf, lambda s: s.silver.rejected))
+
+
+@_query(_with(f"SELECT flag_code, CASE WHEN flag_code IN {_INFO} THEN 'INFO' ELSE 'WARNING' END AS severity, {_FLAG_COLUMNS} AS column_name, count(*) AS occurrences FROM {_FLAGS} GROUP BY ALL"))
+def exp_flags(spark, sf):
+    return explore.flags(_all(spark, sf, lambda s: s.silver.flags))
+
+
+_REFUSED = " UNION ALL ".join(f"SELECT DATE '{testdata.DATES[n]}' AS snapshot_date, source_row_number, id_raw, error_code FROM norm_{n} WHERE error_code IS NOT NULL" for n in "abc")
+
+
+@_query(_with(f"SELECT snapshot_date, source_row_number, id_raw AS id_cliente, error_code FROM ({_REFUSED}) ORDER BY snapshot_date, source_row_number LIMIT 200"))
+def exp_quarantine(spark, sf):
+    rows = explore.quarantine(_all(spark, sf, lambda s: s.silver.rejected))
+    return rows.select("snapshot_date", "source_row_number", "id_cliente", "error_code")
+
+
+@_query(_with(f"SELECT snapshot_date, error_code, count(*) AS rows, arg_min(coalesce(id_raw, '?'), source_row_number) AS example FROM ({_REFUSED}) GROUP BY ALL"))
+def exp_quarantine_examples(spark, sf):
+    """Of the example, which holds the whole row, the client is compared."""
+    rows = explore.quarantine_examples(_all(spark, sf, lambda s: s.silver.rejected))
+    return rows.withColumn("example", F.coalesce(F.get_json_object("example", "$.id_cliente"), F.lit("?")))
+
+
+@_query(_with(f"SELECT 'run_c' AS run_id, * FROM ({_RECON})"))
+def exp_last_checks(spark, sf):
+    """Checks of the last successful run, beside those of an earlier and of a later, failed one."""
+    labels = spark.createDataFrame([(k, group, name) for k, (group, name, *_) in checks.CHECKS.items()], "check_id string, check_group string, check_name string")
+    one = _reconciled(spark, sf).join(F.broadcast(labels), "check_id")  # twelve rows
+    names = F.explode(F.array(*map(F.lit, ("run_b", "run_c", "run_d"))))
+    known = runs(spark, sf)
+    failed = known.where("run_id = 'run_c'").withColumns({"run_id": F.lit("run_d"), "status": F.lit("FAILED"), "started_at": F.col("started_at") + F.expr("INTERVAL 1 DAY")})
+    found = explore.last_checks(one.withColumn("run_id", names), known.unionByName(failed))
+    return found.select("run_id", "check_id", "left_value", "right_value", "difference", "passed")
+
+
+@_query(
+    _with(f"""SELECT category, anomaly_code, count(*) AS cases FROM (
+        SELECT 'OUTLIER' AS category, 'AMOUNT_OUTLIER' AS anomaly_code FROM act m JOIN (SELECT fund, type, {_CUT_DOWN.format(0.25)} AS q1, {_CUT_DOWN.format(0.75)} AS q3 FROM act GROUP BY fund, type) b USING (fund, type)
+            WHERE q3 > q1 AND (CAST(amount AS DOUBLE) < CAST(q1 AS DOUBLE) - 3.0 * CAST(q3 - q1 AS DOUBLE) OR CAST(amount AS DOUBLE) > CAST(q3 AS DOUBLE) + 3.0 * CAST(q3 - q1 AS DOUBLE))
+        UNION ALL SELECT 'QUALITY', 'NEW_CATEGORY_VALUE' FROM (SELECT DISTINCT run_id, flag_code FROM {_FLAGS} WHERE flag_code IN ('UNKNOWN_FUND', 'UNKNOWN_PRODUCT'))
+        UNION ALL SELECT 'REVIEW', 'DAILY_VOLUME_OUTLIER' FROM (SELECT count(*) AS n FROM act GROUP BY movement_date), (SELECT avg(n) AS mu, stddev_samp(n) AS sd FROM (SELECT count(*) AS n FROM act GROUP BY movement_date)) WHERE sd > 0 AND abs((n - mu) / sd) >= 3
+        UNION ALL SELECT 'CHANGE', 'HIGH_DELETION_SHARE' FROM runs WHERE rows_current_before > 0 AND rows_deleted / CAST(rows_current_before AS DOUBLE) >= 0.1
+        UNION ALL SELECT 'BUSINESS_RULE', 'NEGATIVE_AMOUNT_CONCENTRATION' FROM (SELECT type FROM act WHERE amount < 0 GROUP BY type)) GROUP BY ALL""")
+)
+def exp_anomaly_counts(spark, sf):
+    """All five detectors with the default settings."""
+    return explore.anomaly_counts(anomalies.detect(states(spark, sf)["c"].current, _all(spark, sf, lambda s: s.silver.flags), runs(spark, sf), S))
+
+
+@_query(_with("SELECT movement_key, id_cliente, fund, product, amount FROM cur WHERE NOT is_active"))
+def exp_ended(spark, sf):
+    return explore.ended(states(spark, sf)["c"].current).drop("deleted_at")
+
+
 _DIM = "count(*) AS movements, CAST(coalesce(sum(amount), 0) AS DECIMAL(38,2)) AS amount_total, CAST(coalesce(sum(amount) FILTER (WHERE type = 'IN'), 0) AS DECIMAL(38,2)) AS amount_in, CAST(coalesce(sum(amount) FILTER (WHERE type = 'OUT'), 0) AS DECIMAL(38,2)) AS amount_out"
 
 
