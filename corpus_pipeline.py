@@ -5,6 +5,10 @@ that held nothing else; of each group of near copies the document with the
 smallest doc_id stays; documents that hold a benchmark item go; the rest is
 packed into sequences of at most 2,048 ids.  A stage works on all that its
 predecessor kept.  Clean documents pass every stage unchanged.
+
+Null texts count as empty and pass all stages but the fifth, which gives them the end
+id alone; so do null doc_ids.  Rows that share a doc_id stay or go together in the
+third stage.  Further columns pass the first four stages whatever their names.
 """
 
 from __future__ import annotations
@@ -21,19 +25,27 @@ from ledgerly.llm.common import stage, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with numbers for names, so that no column hides one that an operator adds."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that op10 predicts toxic, as learned from ``labels``."""
+    """Without the documents that op10 predicts toxic, as learned from ``labels``; where nothing could be learned, none goes."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity")
+    scored = toxicity.score(_numbered(docs), model)
+    return scored.where(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity").toDF(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without later repeats of runs of lines; documents that are blank after the cut go."""
     # a filter on the lines, not on the text: Spark would work out the text twice
-    out = line_dedup.dedup(docs).where(F.col("gone").isNull() | (F.size("gone") < F.col("n_lines")))
+    own = _numbered(docs)
+    out = line_dedup.dedup(own).where(F.col("gone").isNull() | (F.size("gone") < F.col("n_lines")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        chars = own.columns[docs.columns.index("n_chars")]
+        out = out.withColumn(chars, F.when(F.col("gone").isNull(), F.col(chars)).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*own.columns).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
