@@ -307,4 +307,4 @@ def dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents, with all their columns, one of each component: that with the smallest doc_id.
     Rows that share a doc_id stay or go together."""
     first = groups(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"))
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")

@@ -19,8 +19,11 @@ one, and a denied or reported one never more; how much is learned.
 Only labels of the training rows and texts are read; ``labels``, language,
 source and doc_id are no inputs of a score.  At most ``max_train`` labelled
 documents are used, those with the smallest hash of their doc_id.  Null text
-counts as empty; empty texts, and all texts where nothing could be learned,
-get the base rate of the labels, or 0 without any.
+counts as empty.  Where no abuse could be learned all texts get 0: the labels' base
+rate tells no text from another, and could be over the threshold for all.  Equal texts score alike
+whatever their doc_id.  A doc_id that several rows have is learned from once, by its
+smallest text, and counts as toxic if one of its labels does; a null doc_id has no
+label and is not held out.  Labels of documents that don't exist are left out.
 """
 
 from __future__ import annotations
@@ -103,7 +106,6 @@ class Model:
 
     abuse: dict[str, float] = field(default_factory=dict)
     map: list[float] = field(default_factory=lambda: [0.0] * len(INPUTS))
-    base: float = 0.0
 
 
 def features_of(word: str) -> list[str]:
@@ -160,11 +162,11 @@ def inputs(text: str | None, known: _Classes) -> list[float]:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """text, toxic and fold of the labelled documents that a fit uses."""
+    """text, toxic and fold of the labelled documents that a fit uses: ``max_train`` rows at most, however often a doc_id repeats."""
     some = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -173,7 +175,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
         .limit(max_train)  # the documented bound of the sample
     )
     fold = (F.xxhash64(F.col("doc_id"), F.lit("fold")) % 2).cast("int")
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"), F.abs(fold).alias("fold"))
+    found = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return found.select("text", F.col("toxic").cast("int").alias("toxic"), F.abs(fold).alias("fold"))
 
 
 def _weights(counts: dict[str, tuple[float, float]], toxic: float, clean: float) -> dict[str, float]:
@@ -231,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     found = {r[0]: r[1:] for r in counted.where((F.col("f") == "") | (F.col("n1") + F.col("n3") >= LEAST)).collect()}
     all_of = found.pop("", (0, 0, 0, 0))
     toxic, clean = all_of[1] + all_of[3], all_of[0] + all_of[2]
-    out = Model(base=toxic / (toxic + clean) if toxic + clean else 0.0)
+    out = Model()
     out.abuse = _weights({f: (n[1] + n[3], n[0] + n[2]) for f, n in found.items()}, toxic, clean)
     halves = [_weights({f: (n[1], n[0]) for f, n in found.items() if n[1]}, all_of[1], all_of[0]), _weights({f: (n[3], n[2]) for f, n in found.items() if n[3]}, all_of[3], all_of[2])]
 
@@ -249,7 +252,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with a column ``toxicity``, 0 to 1."""
+    """The documents with a column ``toxicity``, 0 to 1; an input column of that name gives way to it."""
+    docs = docs.drop("toxicity")
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     at = docs.columns.index("text")
 
@@ -260,7 +264,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 x = np.array([inputs(t, known) for t in b.column(at).to_pylist()]).reshape(-1, len(INPUTS))
                 s = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             else:
-                s = np.full(b.num_rows, model.base)
+                s = np.zeros(b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, "toxicity"])
 
     return docs.mapInArrow(run, ", ".join([*kinds, "toxicity double"]))

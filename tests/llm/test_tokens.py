@@ -50,6 +50,16 @@ def test_token_files(spark, odd, none):
         ids = np.array(plain("word_bpe_49k.json", [texts[i]])[0] + [1], "<u4")
         assert (rows[i]["start"], rows[i]["n_tokens"], rows[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+    # null and repeated doc_ids: a row each, nulls first, equal ids in the order of their texts
+    path = scratch(spark, "files")
+    token_files.write(odd, path, "word_bpe_49k.json", 1, blanks=False)
+    lists = token_files.read(spark, path).collect()
+    rows = token_files.read_back(token_files.read(spark, path)).orderBy("start").collect()
+    every = sorted(((r["doc_id"], r["text"]) for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    want = [[*x, 1] for x in plain("word_bpe_49k.json", [t for _, t in every])]
+    assert [(r["doc_id"], r["n_tokens"]) for r in rows] == [(i, len(x)) for (i, _), x in zip(every, want, strict=True)]
+    assert [r["start"] for r in rows] == [sum(map(len, want[:i])) for i in range(len(want))]
+    assert sorted((r["doc_id"] or 0, r["ids"]) for r in lists) == sorted((i or 0, x) for (i, _), x in zip(every, want, strict=True))
     path = scratch(spark, "files")
     token_files.write(none, path, "word_bpe_49k.json", 1, blanks=False)
     assert token_files.read_back(spark.read.schema("doc_id long, n_tokens long, ids array<int>").parquet(path)).count() == 0
